@@ -1,0 +1 @@
+"""Empty on purpose: the operator inventory is batch only, it has no stream operator."""
