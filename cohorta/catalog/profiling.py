@@ -19,7 +19,7 @@ def per_column(cols, select, source, key="column"):
 
 
 @query("null_counts", with_views("fx_holes", per_column(
-    HOLES, "count(*) - count({c}) as nulls, cast(0 as bigint) as nans", "fx_holes")))
+    HOLES, "count({c}) as present, count(*) - count({c}) as nulls, cast(0 as bigint) as nans", "fx_holes")))
 def null_counts(t):
     return prof.null_counts(t.fx_holes, HOLES)
 
@@ -104,9 +104,7 @@ def column_kinds(t):
     df = t.fx_holes
     kinds = prof.column_kinds(df, ids=["l_orderkey"])
     picked = t.spark.createDataFrame(list(kinds.items()), "column string, kind string")
-    present = prof.null_counts(df, list(kinds)).crossJoin(df.agg(F.count(F.lit(1)).alias("rows")))
-    return (picked.join(present, "column")
-            .select("column", "kind", (F.col("rows") - F.col("nulls")).alias("present")))
+    return picked.join(prof.null_counts(df, list(kinds)), "column").select("column", "kind", "present")
 
 
 _CLASSES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -31,14 +31,15 @@ def _one_pass(df: DataFrame, cols: list[str], measures: dict, key: str = "column
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(column, nulls, nans)."""
+    """(column, present, nulls, nans): rows with a value (NaN is one), NULLs and NaNs."""
     def nans(c: str) -> Column:
         if not _is_fraction(df, c):
             return F.count_if(F.lit(False))
         return F.count_if(F.isnan(c))
 
     return _one_pass(df, cols or df.columns,
-                     {"nulls": lambda c: F.count_if(F.col(c).isNull()), "nans": nans})
+                     {"present": lambda c: F.count(c), "nulls": lambda c: F.count_if(F.col(c).isNull()),
+                      "nans": nans})
 
 
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
