@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1000
 
 
-def hot_keys(df: DataFrame, on: list[str], rows: int) -> DataFrame:
-    """Keys with more than a thousandth of the ``rows``: fewer than a thousand, whatever the data."""
+def hot_keys(df: DataFrame, on: list[str], rows: int) -> list[Row]:
+    """Keys that hold more than a thousandth of the ``rows``: fewer than a thousand, always."""
     return (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > max(rows // HOT_SHARE, HOT_SHARE)).select(*on))
+            .filter(F.col("_n") > max(rows // HOT_SHARE, HOT_SHARE)).select(*on).collect())
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame,
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], hot: list[Row],
                 how: str = "inner") -> DataFrame:
     """Join to a side that is unique per key. Rows of hot keys meet a broadcast of the
     fewer than a thousand hot rows of ``right``; all other rows take the shuffle join."""
-    hot_right = right.join(F.broadcast(hot), on, "left_semi")
-    hot_rows = left.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_right), on, how)
-    other = left.join(F.broadcast(hot), on, "left_anti").join(right, on, how)
-    return other.unionByName(hot_rows)
+    if not hot:
+        return left.join(right, on, how)
+    keys = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*on).schema))
+    hot_right = right.join(keys, on, "left_semi")
+    hot_rows = left.join(keys, on, "left_semi").join(F.broadcast(hot_right), on, how)
+    return left.join(keys, on, "left_anti").join(right, on, how).unionByName(hot_rows)

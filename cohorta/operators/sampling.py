@@ -115,7 +115,7 @@ def _new_rows(members: DataFrame, size: int, n: int, features: list[str], key: s
         F.col("id").alias("draw"), choice_index(size, "id", seed=seed, stream="base").alias("_rank"))
     # Few members: every draw meets them in place. Many: each member is drawn a few times only.
     base = draws.join(F.broadcast(ranked) if size <= BROADCAST_ROWS else ranked, "_rank").drop("_rank")
-    found = with_neighbours(members, base, key, features, k, cell_rows)
+    found = with_neighbours(members, base, n, key, features, k, cell_rows)
     picked = F.element_at("near", (choice_index(F.size("near"), "draw", seed=seed, stream="nn") + 1).cast("int"))
     step = hash_uniform("draw", seed=seed, stream="step")
     return (found.withColumn("_to", picked).withColumn("_step", step)
