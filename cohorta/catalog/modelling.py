@@ -1 +1,102 @@
+"""Fits, tuning and scoring. Iterative fits have no SQL twin; tests check their optimum."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohorta.catalog.registry import query, rounded
+from cohorta.operators import cleaning, evaluation as ev, modelling as ml, sampling
+from cohorta.session import materialise, scratch_path
+
+FEATURES = ["x1", "x2", "x3"]
+
+
+def labelled(t):
+    """Scaled features of the labelled documents, written once for the fits that follow."""
+    df = t.fx_labelled
+    scaled = cleaning.fit_scaling(df, FEATURES, "features").transform(df)
+    return materialise(scaled.select("doc_id", "label", "features"))
+
+
+def order_lines(t):
+    """Features of every order line against its late-lines outcome."""
+    df = t.fx_predictions.withColumn("line", F.col("l_linenumber").cast("double"))
+    return materialise(cleaning.assembler(["probability", "line"], "features").transform(df)
+                       .select("l_orderkey", "l_linenumber", "actual", "features"))
+
+
+@query("linreg_fit", """
+    select round(regr_slope(l_extendedprice, l_quantity), 4) as slope,
+           round(regr_intercept(l_extendedprice, l_quantity), 4) as intercept,
+           round(regr_r2(l_extendedprice, l_quantity), 6) as r2 from lineitem""")
+def linreg_fit(t):
+    df = cleaning.assembler(["l_quantity"], "x").transform(t.lineitem)
+    (slope,), intercept, r2 = ml.regression_summary(df, "x", "l_extendedprice")
+    return t.spark.createDataFrame([(round(slope, 4), round(intercept, 4), round(r2, 6))],
+                                   "slope double, intercept double, r2 double")
+
+
+@query("logreg_scores")
+def logreg_scores(t):
+    df = order_lines(t)
+    model = ml.fit_logistic(df, "features", "actual")
+    return rounded(ml.score_rows(model, df, "actual", ["l_orderkey", "l_linenumber"]))
+
+
+@query("logreg_plain_scores")
+def logreg_plain_scores(t):
+    df = labelled(t)
+    return rounded(ml.score_rows(ml.fit_plain_logistic(df, "features", "label"), df, "label", ["doc_id"]))
+
+
+@query("linreg_classifier", """
+    with f as (select regr_slope(actual, x) as a, regr_intercept(actual, x) as b
+               from (select case when l_quantity + 3 * l_linenumber > 40 then 1 else 0 end as actual,
+                            l_quantity as x from lineitem) s)
+    select l_orderkey, l_linenumber, case when l_quantity + 3 * l_linenumber > 40 then 1 else 0 end as actual,
+           case when a * l_quantity + b >= 0.5e0 then 1 else 0 end as prediction,
+           round(a * l_quantity + b, 6) as probability
+    from lineitem, f""")
+def linreg_classifier(t):
+    df = t.fx_predictions.select("l_orderkey", "l_linenumber", "actual", (F.col("probability") * 51.0).alias("x"))
+    df = cleaning.assembler(["x"], "features").transform(df)
+    model = ml.fit_linear(df, "features", "actual")
+    return rounded(ml.score_rows(model, df, "actual", ["l_orderkey", "l_linenumber"]))
+
+
+@query("svm_rbf_scores")
+def svm_rbf_scores(t):
+    df = labelled(t)
+    return rounded(ml.score_rows(ml.fit_svm(df, "features", "label"), df, "label", ["doc_id"]))
+
+
+@query("svm_linear_scores")
+def svm_linear_scores(t):
+    df = labelled(t)
+    return rounded(ml.score_rows(ml.fit_svm(df, "features", "label", kernel="linear"), df, "label", ["doc_id"]))
+
+
+@query("grid_logreg")
+def grid_logreg(t):
+    return rounded(ml.tune_logistic(labelled(t), "features", "label", ["doc_id"])[0])
+
+
+@query("grid_svm")
+def grid_svm(t):
+    return rounded(ml.tune_svm(labelled(t), "features", "label", ["doc_id"])[0])
+
+
+@query("score_batch")
+def score_batch(t):
+    """Fit on the train part, store the model, load it and score the test part."""
+    train, test = sampling.split_train_test(order_lines(t), 0.3, ["l_orderkey"])
+    path = scratch_path(t.spark, "model")
+    ml.save_model(ml.fit_logistic(train, "features", "actual"), path)
+    return rounded(ml.score_rows(ml.load_model(path), test, "actual", ["l_orderkey", "l_linenumber"]))
+
+
+@query("baseline_bakeoff")
+def baseline_bakeoff(t):
+    train, test = sampling.split_train_test(labelled(t), 0.2, ["doc_id"])
+    scored = ml.score_models(ml.fit_baselines(train, "features", "label"), test, "label")
+    return rounded(ev.compare_models(materialise(scored), score="probability"))
