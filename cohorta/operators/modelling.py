@@ -7,15 +7,16 @@ linear regression, ``probability``.
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.config import SEED
@@ -30,6 +31,8 @@ PENALTIES = ["l1", "l2"]
 GAMMAS = ["scale", "auto"]
 GRID_TOL = 1e-4
 SVM_TOL = 1e-3
+
+ROWS_PER_TASK = 50_000
 KERNELS = ["linear", "rbf"]
 
 
@@ -133,19 +136,26 @@ def evaluator_auc(scored: DataFrame, label: str) -> float:
 
 
 def _folded(df: DataFrame, label: str, keys: list[str], folds: int, seed: int) -> tuple[DataFrame, int]:
-    """Rows with their fold, written once: the fits read them many times."""
+    """Rows with their fold, written once as the fits read them many times, and the size
+    of a training part. Small tables get few partitions: each fit is hundreds of passes."""
     placed = materialise(stratified_folds(df, folds, label, keys, seed))
-    return placed, placed.count() * (folds - 1) // folds
+    rows = placed.count()
+    return placed.coalesce(rows // ROWS_PER_TASK + 1), rows * (folds - 1) // folds
 
 
-def _cross_validate(estimator: Estimator, grid: list, df: DataFrame, label: str, folds: int,
+def _cross_validate(cells: list[Estimator], df: DataFrame, label: str, folds: int,
                     parallelism: int) -> list[float]:
-    """Mean accuracy of each cell over the folds."""
-    validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        parallelism=parallelism)
-    return [float(m) for m in validator.fit(df).avgMetrics]
+    """Mean accuracy of each cell over the folds; fits of all cells and folds run side by side."""
+    def accuracy(task: tuple[int, int]) -> float:
+        cell, fold = task
+        model = cells[cell].copy().fit(df.filter(F.col("fold") != fold))
+        held_out = model.transform(df.filter(F.col("fold") == fold))
+        return held_out.agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+
+    tasks = [(cell, fold) for cell in range(len(cells)) for fold in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(inheritable_thread_target(df.sparkSession)(accuracy), tasks, chunksize=1)
+    return [sum(scores[i * folds:(i + 1) * folds]) / folds for i in range(len(cells))]
 
 
 def tune_logistic(df: DataFrame, features: str, label: str, keys: list[str], folds: int = 5,
@@ -155,12 +165,11 @@ def tune_logistic(df: DataFrame, features: str, label: str, keys: list[str], fol
     Returns (cells with C, penalty, accuracy and rank order, model refitted on all rows).
     """
     placed, train_rows = _folded(df.select(*keys, features, label), label, keys, folds, seed)
-    lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, tol=GRID_TOL,
-                            standardization=False)
     cells = [(c, p) for c in C_GRID for p in PENALTIES]
-    grid = [{lr.regParam: penalty_weight(c, train_rows), lr.elasticNetParam: 1.0 if p == "l1" else 0.0}
-            for c, p in cells]
-    scores = _cross_validate(lr, grid, placed, label, folds, parallelism)
+    fits = [LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, tol=GRID_TOL,
+                               standardization=False, regParam=penalty_weight(c, train_rows),
+                               elasticNetParam=1.0 if p == "l1" else 0.0) for c, p in cells]
+    scores = _cross_validate(fits, placed, label, folds, parallelism)
     best = max(range(len(cells)), key=lambda i: scores[i])
     model = fit_logistic(placed, features, label, *cells[best], max_iter=max_iter)
     rows = [(c, p, s, i == best) for i, ((c, p), s) in enumerate(zip(cells, scores))]
@@ -183,13 +192,10 @@ def tune_svm(df: DataFrame, features: str, label: str, keys: list[str], folds: i
         base = FourierFeatures(inputCol=features, outputCol=f"{features}_{g}", gamma=width, inputs=d,
                                size=size, seed=seed).transform(base)
     placed, train_rows = _folded(base, label, keys, folds, seed)
-    svc = LinearSVC(labelCol=label, maxIter=max_iter, tol=SVM_TOL, standardization=False)
-    fitted = [(c, col) for c in C_GRID for col in dict.fromkeys(columns.values())]
-    grid = (ParamGridBuilder().addGrid(svc.regParam, [penalty_weight(c, train_rows) for c in C_GRID])
-            .addGrid(svc.featuresCol, list(dict.fromkeys(columns.values()))).build())
-    by_cell = {(m[svc.regParam], m[svc.featuresCol]): s for m, s in zip(
-        grid, _cross_validate(svc, grid, placed, label, folds, parallelism))}
-    scores = {(c, col): by_cell[penalty_weight(c, train_rows), col] for c, col in fitted}
+    fitted = [(c, column) for c in C_GRID for column in dict.fromkeys(columns.values())]
+    fits = [LinearSVC(featuresCol=column, labelCol=label, maxIter=max_iter, tol=SVM_TOL,
+                      standardization=False, regParam=penalty_weight(c, train_rows)) for c, column in fitted]
+    scores = dict(zip(fitted, _cross_validate(fits, placed, label, folds, parallelism)))
     cells = [(c, g, kernel) for c in C_GRID for g in GAMMAS for kernel in KERNELS]
     accuracy = [scores[c, columns[kernel, g]] for c, g, kernel in cells]
     best = max(range(len(cells)), key=lambda i: accuracy[i])
