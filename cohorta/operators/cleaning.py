@@ -66,12 +66,14 @@ def mode_imputer(df: DataFrame, cols: list[str], default: str = "Unknown") -> Tr
     return replace_columns(exprs)
 
 
-def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False,
-               relative_error: float = 0.001) -> dict[str, tuple[float, float]]:
-    """(Q1 - 1.5 IQR, Q3 + 1.5 IQR) per column that has values."""
+def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False, relative_error: float = 0.001,
+               quartiles: dict[str, tuple] | None = None) -> dict[str, tuple[float, float]]:
+    """(Q1 - 1.5 IQR, Q3 + 1.5 IQR) per column that has values; ``quartiles`` if already known."""
     if not cols:
         return {}
-    if exact:
+    if quartiles:
+        quartiles = {c: quartiles[c] for c in cols}
+    elif exact:
         quartiles = exact_quantiles(df, cols, [0.25, 0.75])
     else:
         accuracy = max(1, round(1 / relative_error))
@@ -85,10 +87,10 @@ def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False,
     return out
 
 
-def iqr_capper(df: DataFrame, cols: list[str], exact: bool = False,
-               relative_error: float = 0.001) -> Transformer:
+def iqr_capper(df: DataFrame, cols: list[str], exact: bool = False, relative_error: float = 0.001,
+               quartiles: dict[str, tuple] | None = None) -> Transformer:
     """Values outside the fences become the fence; NULL stays NULL."""
-    fences = iqr_fences(df, cols, exact, relative_error)
+    fences = iqr_fences(df, cols, exact, relative_error, quartiles)
     return replace_columns({
         c: f"case when `{c}` < {_number(lo)} then {_number(lo)} "
            f"when `{c}` > {_number(hi)} then {_number(hi)} else cast(`{c}` as double) end"

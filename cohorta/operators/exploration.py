@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,21 +25,29 @@ def _ranges(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     return {r["column"]: r.asDict() for r in column_profile(clean, cols).collect() if r["n"]}
 
 
-def bin_rule(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float, int]]:
-    """(low, width, bins) per column: the narrower of the Sturges and Freedman-Diaconis widths."""
-    ranges = _ranges(df, cols)
-    quartiles = exact_quantiles(df, list(ranges), [0.25, 0.75]) if ranges else {}
-    rule = {}
-    for c, r in ranges.items():
+@dataclass(frozen=True)
+class Summary:
+    """What the plot tables need to know about each column; computed once for all of them."""
+
+    ranges: dict[str, dict]
+    quartiles: dict[str, list[float | None]]
+
+    def bins(self, c: str) -> tuple[float, float, int]:
+        """(low, width, bins): the narrower of the Sturges and Freedman-Diaconis widths."""
+        r = self.ranges[c]
         span, n = r["max"] - r["min"], r["n"]
         if span == 0:
-            rule[c] = (r["min"] - 0.5, 1.0, 1)
-            continue
+            return r["min"] - 0.5, 1.0, 1
         sturges = span / (math.log2(n) + 1)
-        fd = 2 * (quartiles[c][1] - quartiles[c][0]) / n ** (1 / 3)
+        fd = 2 * (self.quartiles[c][2] - self.quartiles[c][0]) / n ** (1 / 3)
         bins = math.ceil(span / (min(sturges, fd) if fd > 0 else sturges))
-        rule[c] = (r["min"], span / bins, bins)
-    return rule
+        return r["min"], span / bins, bins
+
+
+def summarise(df: DataFrame, cols: list[str]) -> Summary:
+    """Range, moments and exact quartiles of the columns that have values."""
+    ranges = _ranges(df, cols)
+    return Summary(ranges, exact_quantiles(df, list(ranges), [0.25, 0.5, 0.75]) if ranges else {})
 
 
 def _bin(value: Column, rule: tuple[float, float, int]) -> Column:
@@ -46,9 +55,10 @@ def _bin(value: Column, rule: tuple[float, float, int]) -> Column:
     return F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
 
 
-def histogram(df: DataFrame, cols: list[str]) -> DataFrame:
+def histogram(df: DataFrame, cols: list[str], summary: Summary | None = None) -> DataFrame:
     """(column, bin, low, high, n): counts of the non-empty bins; the last bin is closed."""
-    rule = bin_rule(df, cols)
+    summary = summary or summarise(df, cols)
+    rule = {c: summary.bins(c) for c in cols if c in summary.ranges}
     placed, low, high = F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(None).cast("double")
     for c, r in rule.items():
         here = F.col("column") == c
@@ -60,12 +70,13 @@ def histogram(df: DataFrame, cols: list[str]) -> DataFrame:
             .select("column", "bin", low.alias("low"), high.alias("high"), "n"))
 
 
-def density(df: DataFrame, cols: list[str], points: int = 200) -> DataFrame:
+def density(df: DataFrame, cols: list[str], points: int = 200, summary: Summary | None = None) -> DataFrame:
     """(column, point, x, density): Gaussian kernel estimate on an even grid over [min, max]
     with Scott's bandwidth. Equal values are counted once, then spread over the grid with
     a partial sum in each task.
     """
-    ranges = {c: r for c, r in _ranges(df, cols).items() if r["n"] > 1 and r["std"] > 0}
+    known = summary.ranges if summary else _ranges(df, cols)
+    ranges = {c: known[c] for c in cols if c in known and known[c]["n"] > 1 and known[c]["std"] > 0}
     counted = _long(df, list(ranges)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("w"))
     low, step, width, n = (F.lit(None).cast("double") for _ in range(4))
     for c, r in ranges.items():
@@ -82,10 +93,11 @@ def density(df: DataFrame, cols: list[str], points: int = 200) -> DataFrame:
     return grid.groupBy("column", "point").agg(F.max(x).alias("x"), F.sum(kernel).alias("density"))
 
 
-def boxplot_stats(df: DataFrame, cols: list[str]) -> DataFrame:
+def boxplot_stats(df: DataFrame, cols: list[str], summary: Summary | None = None) -> DataFrame:
     """(column, q1, median, q3, low_whisker, high_whisker, outliers): whiskers end at the
     outermost values inside 1.5 IQR, values beyond are outliers."""
-    quartiles = {c: q for c, q in exact_quantiles(df, cols, [0.25, 0.5, 0.75]).items() if q[0] is not None}
+    known = summary.quartiles if summary else exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    quartiles = {c: known[c] for c in cols if known.get(c, [None])[0] is not None}
     lo, hi = F.lit(None).cast("double"), F.lit(None).cast("double")
     for c, (q1, _, q3) in quartiles.items():
         here = F.col("column") == c
@@ -101,9 +113,10 @@ def boxplot_stats(df: DataFrame, cols: list[str]) -> DataFrame:
         rows, "column string, q1 double, median double, q3 double")).join(stats, "column")
 
 
-def pair_density(df: DataFrame, cols: list[str]) -> DataFrame:
+def pair_density(df: DataFrame, cols: list[str], summary: Summary | None = None) -> DataFrame:
     """(x, y, x_bin, y_bin, n): joint counts of every column pair on the histogram bins."""
-    rule = bin_rule(df, cols)
+    summary = summary or summarise(df, cols)
+    rule = {c: summary.bins(c) for c in cols if c in summary.ranges}
     names = [c for c in cols if c in rule]
 
     def usable(c: str) -> Column:

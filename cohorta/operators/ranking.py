@@ -102,20 +102,22 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     about 4n/accuracy values per quantile are shuffled and sorted.
     """
     values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
-    slack = 2.0 / accuracy
-    near = [x for p in probs for x in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    margins = [3.0 / accuracy, 1e-3, 1e-2, 1e-1]
+    near = sorted({min(max(p + side * m, 0.0), 1.0) for p in probs for m in margins for side in (-1, 1)})
     sketch = values.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
         *[F.percentile_approx(c, near, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
 
-    targets, entries = [], []  # one target per (column, prob): (count, position)
+    targets, entries = [], []  # one target per (column, prob): (column, index of prob, position)
     for i, c in enumerate(cols):
+        n = sketch[f"n{i}"]
+        if n == 0:
+            continue
+        # Wide enough for the sketch's error and for the two neighbours of the position.
+        margin = next((m for m in margins if m >= 2.0 / accuracy + 2.0 / n), 1.0)
         for j, p in enumerate(probs):
-            n = sketch[f"n{i}"]
-            if n == 0:
-                continue
-            lo = -math.inf if p <= slack else sketch[f"q{i}"][2 * j]
-            hi = math.inf if p >= 1 - slack else sketch[f"q{i}"][2 * j + 1]
+            lo = -math.inf if p - margin <= 0 else sketch[f"q{i}"][near.index(p - margin)]
+            hi = math.inf if p + margin >= 1 else sketch[f"q{i}"][near.index(p + margin)]
             v = F.col(c)
             entries.append(F.struct(
                 F.lit(len(targets)).alias("t"),
