@@ -162,9 +162,15 @@ def cardinality_classes(df: DataFrame, ids: list[str] = STAY_KEYS, categorical:
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(x, y, r): Pearson correlation of every pair, each on the rows where both are present."""
+    """(x, y, r): Pearson correlation of every pair, each on the rows where both are present.
+
+    NULL where a column is constant; ``corr`` would raise there under ANSI division.
+    """
+    def r(a: Column, b: Column) -> Column:
+        return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
+
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r_{i}_{j}")
+    row = df.agg(*[r(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r_{i}_{j}")
                    for i, j in pairs])
     cells = [F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"),
                       F.col(f"r_{min(i, j)}_{max(i, j)}").alias("r"))
