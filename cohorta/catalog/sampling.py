@@ -46,7 +46,7 @@ def sample_two_thirds(t):
     from cohorta.operators.ranking import take_by_hash
     n = 2 * t.orders.count() // 3
     drawn = t.orders.select("o_orderkey", "o_custkey").withColumn("u", uniform("o_orderkey"))
-    return take_by_hash(drawn, n, "u", ["o_orderkey"], small=0).drop("u")
+    return take_by_hash(drawn, n, "u", ["o_orderkey"], small=1).drop("u")
 
 
 @query("upsample_n", f"""

@@ -41,18 +41,27 @@ def penalty_weight(c: float, rows: int) -> float:
     return 1.0 / (c * rows)
 
 
+def _dealt(df: DataFrame, rows: int) -> DataFrame:
+    """Training rows in even partitions: one shuffle against hundreds of passes over them.
+    Small tables get few partitions, as each pass starts one task per partition."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(rows // ROWS_PER_TASK + 1, width))
+
+
 def fit_logistic(df: DataFrame, features: str, label: str, c: float = 1.0, penalty: str = "l2",
                  max_iter: int = 1000, tol: float = 1e-8) -> PipelineModel:
     """Penalised logistic regression with the penalty on the features as they are."""
+    rows = df.count()
     lr = LogisticRegression(
         featuresCol=features, labelCol=label, maxIter=max_iter, tol=tol, standardization=False,
-        regParam=penalty_weight(c, df.count()), elasticNetParam=1.0 if penalty == "l1" else 0.0)
-    return Pipeline(stages=[lr]).fit(df)
+        regParam=penalty_weight(c, rows), elasticNetParam=1.0 if penalty == "l1" else 0.0)
+    return Pipeline(stages=[lr]).fit(_dealt(df.select(features, label), rows))
 
 
 def fit_plain_logistic(df: DataFrame, features: str, label: str) -> PipelineModel:
     """Logistic regression without a penalty."""
-    return Pipeline(stages=[LogisticRegression(featuresCol=features, labelCol=label)]).fit(df)
+    lr = LogisticRegression(featuresCol=features, labelCol=label)
+    return Pipeline(stages=[lr]).fit(_dealt(df.select(features, label), df.count()))
 
 
 def fit_linear(df: DataFrame, features: str, label: str) -> PipelineModel:
@@ -81,18 +90,18 @@ def kernel_width(df: DataFrame, features: str, gamma: str) -> tuple[float, int]:
 def fit_svm(df: DataFrame, features: str, label: str, c: float = 1.0, kernel: str = "rbf",
             gamma: str = "scale", size: int = 200, seed: int = SEED, max_iter: int = 100) -> PipelineModel:
     """Support vector classifier with a probability from Platt scaling of its margin."""
-    stages, used = [], features
+    stages, used, rows = [], features, df.count()
     if kernel == "rbf":
         width, d = kernel_width(df, features, gamma)
         used = f"{features}_fourier"
         stages.append(FourierFeatures(inputCol=features, outputCol=used, gamma=width, inputs=d,
                                       size=size, seed=seed))
     svc = LinearSVC(featuresCol=used, labelCol=label, maxIter=max_iter, tol=SVM_TOL, standardization=False,
-                    regParam=penalty_weight(c, df.count()), rawPredictionCol="margin")
+                    regParam=penalty_weight(c, rows), rawPredictionCol="margin")
     platt = LogisticRegression(featuresCol="margin_of_1", labelCol=label, predictionCol="platt_prediction",
                                rawPredictionCol="platt_raw", probabilityCol="probability")
     return Pipeline(stages=[*stages, svc, VectorSlicer(inputCol="margin", outputCol="margin_of_1", indices=[1]),
-                            platt]).fit(df)
+                            platt]).fit(_dealt(df.select(features, label), rows))
 
 
 def score_rows(model: PipelineModel, df: DataFrame, label: str, keep: list[str] | None = None) -> DataFrame:
@@ -137,10 +146,10 @@ def evaluator_auc(scored: DataFrame, label: str) -> float:
 
 def _folded(df: DataFrame, label: str, keys: list[str], folds: int, seed: int) -> tuple[DataFrame, int]:
     """Rows with their fold, written once as the fits read them many times, and the size
-    of a training part. Small tables get few partitions: each fit is hundreds of passes."""
-    placed = materialise(stratified_folds(df, folds, label, keys, seed))
-    rows = placed.count()
-    return placed.coalesce(rows // ROWS_PER_TASK + 1), rows * (folds - 1) // folds
+    of a training part."""
+    rows = df.count()
+    placed = materialise(_dealt(stratified_folds(df, folds, label, keys, seed), rows))
+    return placed, rows * (folds - 1) // folds
 
 
 def _cross_validate(cells: list[Estimator], df: DataFrame, label: str, folds: int,

@@ -5,8 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegralType, NumericType, StringType
@@ -179,10 +177,11 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def complete_correlation(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """Pearson matrix over the rows that are complete in all columns."""
+    """Pearson matrix over the rows that are complete in all columns; NaN beside the
+    diagonal for a constant column."""
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    vectors = VectorAssembler(inputCols=cols, outputCol="v").transform(rows).select("v")
-    return Correlation.corr(vectors, "v", "pearson").head()[0].toArray()
+    r = {(x["x"], x["y"]): x["r"] for x in correlation_matrix(rows, cols).collect()}
+    return np.array([[1.0 if a == b else math.nan if r[a, b] is None else r[a, b] for b in cols] for a in cols])
 
 
 def vif(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -42,28 +42,30 @@ def hash_rank(df: DataFrame, u: str, tie: list[str], groups: list[str] | None =
             .drop("_bucket", "_before"))
 
 
-def take_by_hash(df: DataFrame, n: int, u: str, tie: list[str], small: int = 100_000) -> DataFrame:
+def take_by_hash(df: DataFrame, n: int, u: str, tie: list[str], small: int = 200_000) -> DataFrame:
     """The n rows with the smallest (u, tie): a sample without replacement of exact size.
 
-    A small n is one top-n job. For a large n only the bucket that contains the cut is
-    ranked; all rows below it pass through a plain filter, with no shuffle.
+    The row counts of 65,536 slices of u tell where the n-th row lies; a plain filter drops
+    all slices above. A plain sort with limit would send n rows of every partition to one
+    task. What is left is sorted if it is small; else only the slice at the cut is ranked.
     """
-    if n <= small:
-        return df.orderBy(u, *tie).limit(n)
-    buckets = 65_536
-    bucket = F.floor(F.col(u) * buckets).cast("int")
-    sizes = dict(df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
-    left, cut = n, 0
-    while cut < buckets and sizes.get(cut, 0) <= left:
-        left -= sizes.get(cut, 0)
+    slices = 65_536
+    slice_of = F.floor(F.col(u) * slices).cast("int")
+    sizes = dict(df.groupBy(slice_of.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect())
+    below, cut = 0, 0
+    while cut < slices and below + sizes.get(cut, 0) <= n:
+        below += sizes.get(cut, 0)
         cut += 1
-    below = df.filter(F.col(u) < F.lit(cut / buckets))
-    if cut == buckets or left == 0:
-        return below
-    at_cut = (df.filter(bucket == cut)
-              .withColumn("_spread", F.col(u) * buckets - F.lit(float(cut))))
+    if cut == slices:
+        return df
+    if below + sizes[cut] <= small:
+        return df.filter(F.col(u) < F.lit((cut + 1) / slices)).orderBy(u, *tie).limit(n)
+    kept = df.filter(F.col(u) < F.lit(cut / slices))
+    if below == n:
+        return kept
+    at_cut = df.filter(slice_of == cut).withColumn("_spread", F.col(u) * slices - F.lit(float(cut)))
     ranked = hash_rank(at_cut, "_spread", tie, rank_col="_rank")
-    return below.unionByName(ranked.filter(F.col("_rank") < left).drop("_rank", "_spread"))
+    return kept.unionByName(ranked.filter(F.col("_rank") < n - below).drop("_rank", "_spread"))
 
 
 def running_totals(df: DataFrame, order: str, sums: dict[str, str], groups: list[str] | None = None,
@@ -98,8 +100,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     """Exact linear-interpolated quantiles of several columns; NULL and NaN are skipped.
 
     Pass 1 brackets each quantile with a sketch (rank error at most n/accuracy). Pass 2
-    counts the values below each bracket and the distinct values inside it, so only
-    about 4n/accuracy values per quantile are shuffled and sorted.
+    counts the different values inside the brackets; all values between two brackets
+    collapse to one count in each task. So only about 6n/accuracy values per quantile
+    are shuffled and sorted, by column.
     """
     values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     margins = [3.0 / accuracy, 1e-3, 1e-2, 1e-1]
@@ -108,40 +111,49 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
         *[F.percentile_approx(c, near, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
 
-    targets, entries = [], []  # one target per (column, prob): (column, index of prob, position)
+    ranks: dict[int, list[float]] = {}  # per column with values: the position of each prob
+    entries = []
     for i, c in enumerate(cols):
         n = sketch[f"n{i}"]
         if n == 0:
             continue
         # Wide enough for the sketch's error and for the two neighbours of the position.
         margin = next((m for m in margins if m >= 2.0 / accuracy + 2.0 / n), 1.0)
-        for j, p in enumerate(probs):
+        brackets: list[list[float]] = []
+        for p in sorted(probs):
             lo = -math.inf if p - margin <= 0 else sketch[f"q{i}"][near.index(p - margin)]
             hi = math.inf if p + margin >= 1 else sketch[f"q{i}"][near.index(p + margin)]
-            v = F.col(c)
-            entries.append(F.struct(
-                F.lit(len(targets)).alias("t"),
-                F.when(v < lo, "below").when(v <= hi, "inside").alias("part"),
-                F.when((v >= lo) & (v <= hi), v).alias("v")))
-            targets.append((c, j, p * (n - 1)))
+            if brackets and lo <= brackets[-1][1]:
+                brackets[-1][1] = max(hi, brackets[-1][1])
+            else:
+                brackets.append([lo, hi])
+        v = F.col(c)
+        part = F.when(v.isNull(), F.lit(None).cast("int"))  # odd: inside a bracket, even: between two
+        for b, (lo, hi) in enumerate(brackets):
+            part = part.when(v < lo, 2 * b).when(v <= hi, 2 * b + 1)
+        part = part.otherwise(2 * len(brackets))
+        entries.append(F.struct(F.lit(i).alias("c"), part.alias("part"),
+                                F.when(part % 2 == 1, v).alias("v")))
+        ranks[i] = [p * (n - 1) for p in probs]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
-    if not targets:
+    if not ranks:
         return out
 
     counted = (values.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
                .filter(F.col("part").isNotNull())
-               .groupBy("t", "part", "v").agg(F.count(F.lit(1)).alias("n")))
-    upto = Window.partitionBy("t").orderBy("part", "v")
-    wanted = F.create_map(*[x for t, (_, _, pos) in enumerate(targets) for x in (
-        F.lit(t), F.array(F.lit(math.floor(pos)), F.lit(math.ceil(pos))))])
+               .groupBy("c", "part", "v").agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy("c").orderBy("part", "v")
+    wanted = F.create_map(*[x for i, positions in ranks.items() for x in (F.lit(i), F.array(*[
+        F.lit(k) for k in sorted({math.floor(pos) for pos in positions} | {math.ceil(pos) for pos in positions})]))])
     hits = (counted.withColumn("upto", F.sum("n").over(upto))
-            .withColumn("k", F.explode(wanted[F.col("t")]))
+            .withColumn("k", F.explode(wanted[F.col("c")]))
             .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
-            .select("t", "k", "v").collect())
-    found = {(r["t"], r["k"]): r["v"] for r in hits}
-    for t, (c, j, pos) in enumerate(targets):
-        low, high = found.get((t, math.floor(pos))), found.get((t, math.ceil(pos)))
-        if low is None or high is None:
-            raise RuntimeError(f"quantile bracket of {c} missed its rank")
-        out[c][j] = low + (high - low) * (pos - math.floor(pos))
+            .select("c", "k", "v").collect())
+    found = {(r["c"], r["k"]): r["v"] for r in hits}
+    for i, positions in ranks.items():
+        for j, pos in enumerate(positions):
+            low, high = found.get((i, math.floor(pos))), found.get((i, math.ceil(pos)))
+            if low is None or high is None:
+                raise RuntimeError(f"quantile bracket of {cols[i]} missed its rank")
+            out[cols[i]][j] = low + (high - low) * (pos - math.floor(pos))
     return out
