@@ -98,7 +98,7 @@ def _cumulated(df: DataFrame, actual: str, score: str, groups: list[str]) -> tup
     levels = score_counts(df, actual, score, groups).withColumn("_one", F.lit(1))
     cumulated = running_totals(levels, "score", {"pos": "tp", "neg": "fp", "_one": "point_no"},
                                groups, descending=True)
-    totals = cumulated.groupBy(*groups).agg(F.max("tp").alias("P"), F.max("fp").alias("N"))
+    totals = cumulated.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cumulated, totals
 
 

@@ -24,7 +24,7 @@ ROW = "row_id"
 
 
 def clean(stages: Stages, rows: int | None = UPSAMPLED_ROWS, seed: int = SEED,
-          exact: bool = True) -> dict[str, DataFrame]:
+          exact: bool = True, reports: bool = True) -> dict[str, DataFrame]:
     """Up-sample to ``rows`` (None keeps the table), impute, profile, cap outliers."""
     df = stages.read("features")
     if rows is not None:
@@ -49,6 +49,8 @@ def clean(stages: Stages, rows: int | None = UPSAMPLED_ROWS, seed: int = SEED,
     capped = cleaning.iqr_capper(imputed, [c for c in numeric if c in summary.ranges],
                                  quartiles=quartiles).transform(imputed)
     stages.write(capped, "capped")
+    if not reports:
+        return {}
     varying = [c for c in numeric if c in summary.ranges and summary.ranges[c]["std"]]
     return {
         "histogram": ex.histogram(imputed, numeric, summary),
@@ -59,10 +61,12 @@ def clean(stages: Stages, rows: int | None = UPSAMPLED_ROWS, seed: int = SEED,
         "skewness": prof.skewness_population(imputed, numeric)}
 
 
-def engineer(stages: Stages) -> dict[str, DataFrame]:
+def engineer(stages: Stages, reports: bool = True) -> dict[str, DataFrame]:
     """Log twins of the skewed columns; correlation, skewness and VIF of the result."""
     df = log1p_columns(stages.read("capped"), LOG_ENGINEERED)
     stages.write(df, "engineered")
+    if not reports:
+        return {}
     df = stages.read("engineered")
     complete = df.select(*VIF_FEATURES).na.drop()
     varying = [r["column"] for r in prof.column_profile(complete, VIF_FEATURES).collect() if r["std"]]
