@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,10 +91,10 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def sql(self, text: str) -> DataFrame:
-        for table in ("customer", "orders", "lineitem", "part", "documents", "labels"):
-            if table in text:
-                getattr(self, table).createOrReplaceTempView(table)
-        return self.spark.sql(text)
+        """Run a view's SQL on this folder's tables, without leaving temp views behind."""
+        named = re.compile(r"\b(from|join) (customer|orders|lineitem|part|documents|labels)\b")
+        used = {name for _, name in named.findall(text)}
+        return self.spark.sql(named.sub(r"\1 {\2}", text), **{name: getattr(self, name) for name in used})
 
 
 def with_views(names: str, body: str) -> str:

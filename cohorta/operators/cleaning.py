@@ -11,7 +11,7 @@ from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, VectorAs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.operators.profiling import column_mode
+from cohorta.operators.profiling import column_mode, without_nan
 from cohorta.operators.ranking import exact_quantiles
 from cohorta.functions.scalar import vector_has_nan
 
@@ -77,7 +77,7 @@ def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False, relative_err
         quartiles = exact_quantiles(df, cols, [0.25, 0.75])
     else:
         accuracy = max(1, round(1 / relative_error))
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy).alias(c)
+        row = df.agg(*[F.percentile_approx(without_nan(c), [0.25, 0.75], accuracy).alias(c)
                        for c in cols]).first()
         quartiles = {c: row[c] or [None, None] for c in cols}
     out = {}

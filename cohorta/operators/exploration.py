@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.operators.profiling import column_profile
+from cohorta.operators.profiling import column_profile, without_nan
 from cohorta.operators.ranking import exact_quantiles
 
 
@@ -21,7 +21,7 @@ def _long(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def _ranges(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     """Per column with values: n, mean, std, min, max over the values that are not NaN."""
-    clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    clean = df.select(*[without_nan(c).alias(c) for c in cols])
     return {r["column"]: r.asDict() for r in column_profile(clean, cols).collect() if r["n"]}
 
 

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1000
+HOT_ROWS = 100_000
+MAX_HOT_KEYS = 1000
 
 
-def hot_keys(df: DataFrame, on: list[str], rows: int) -> list[Row]:
-    """Keys that hold more than a thousandth of the ``rows``: fewer than a thousand, always."""
+def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> list[Row]:
+    """The up to 1000 most frequent keys of more than ``min_rows`` rows. Any other key holds
+    less than a thousandth of the table or few rows, so a task can take it whole."""
     return (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > max(rows // HOT_SHARE, HOT_SHARE)).select(*on).collect())
+            .filter((F.col("_n") > min_rows) & ~F.greatest(F.lit(False), *[F.col(c).isNull() for c in on]))
+            .orderBy(F.desc("_n"), *on).limit(MAX_HOT_KEYS).select(*on).collect())
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], hot: list[Row],
                 how: str = "inner") -> DataFrame:
-    """Join to a side that is unique per key. Rows of hot keys meet a broadcast of the
-    fewer than a thousand hot rows of ``right``; all other rows take the shuffle join."""
+    """Join (inner or left) to a side that is unique per key. Rows of hot keys meet a broadcast
+    of the up to 1000 hot rows of ``right``; all other rows take the shuffle join."""
     if not hot:
         return left.join(right, on, how)
     keys = F.broadcast(left.sparkSession.createDataFrame(hot, left.select(*on).schema))

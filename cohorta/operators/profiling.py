@@ -19,6 +19,11 @@ def _is_fraction(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
 
 
+def without_nan(c: str) -> Column:
+    """The column as double with NaN turned into NULL."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def _one_pass(df: DataFrame, cols: list[str], measures: dict, key: str = "column") -> DataFrame:
     """One aggregate over all columns, turned into one row per column."""
     wide = df.agg(*[expr(c).alias(f"{name}_{i}") for i, c in enumerate(cols)
@@ -65,7 +70,7 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      relative_error: float = 0.05) -> DataFrame:
     """(column, prob, value) from one sketch per column."""
     accuracy = max(1, round(1 / relative_error))
-    wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"q_{i}")
+    wide = df.agg(*[F.percentile_approx(without_nan(c), probs, accuracy).alias(f"q_{i}")
                     for i, c in enumerate(cols)])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"q_{i}")[j].alias("value"))
             for i, c in enumerate(cols) for j, p in enumerate(probs)]

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from cohorta.catalog.jobs import TEXT, built
 from cohorta.catalog.registry import Tables
-from cohorta.operators import modelling as ml
+from cohorta.catalog.relational import VITALS, features
+from cohorta.operators import joins, modelling as ml, relational as rel
 from cohorta.plans import inference, training
+from cohorta.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,35 @@ def stages(spark, sf_dir):
     return built(Tables(spark, sf_dir))
 
 
+def test_features_from_raw_csv_files(spark, sf_dir, tmp_path):
+    """CSV files with upper-case headers and row ids give the same table as the views."""
+    t = Tables(spark, sf_dir)
+    files = {"ADMISSIONS": t.fx_admissions, "PATIENTS": t.fx_patients, "ICUSTAYS": t.fx_icustays,
+             "CHARTEVENTS": t.fx_chartevents, "LABEVENTS": t.fx_labevents, "DIAGNOSES_ICD": t.fx_diagnoses,
+             "D_ICD_DIAGNOSES": t.fx_codes, "D_ITEMS": t.fx_codes}
+    for name, df in files.items():
+        out = df.withColumn("row_id", F.monotonically_increasing_id())
+        tables.write_csv(out.select([F.col(c).alias(c.upper()) for c in out.columns]), f"{tmp_path}/{name}.csv")
+    raw = tables.load_core_tables(spark, str(tmp_path))
+    events = tables.load_event_tables(spark, str(tmp_path))
+    got = rel.feature_table(raw["admissions"], raw["patients"], raw["icustays"], events["chartevents"],
+                            events["labevents"], events["diagnoses_icd"], VITALS)
+    want = features(t)
+    columns = ["subject_id", "hadm_id", "icustay_id", "age", "mean_vitals", "mean_labs", "num_comorbidities"]
+    assert "row_id" not in got.columns
+    assert got.select(columns).exceptAll(want.select(columns)).count() == 0
+    assert got.count() == want.count()
+
+
+def test_hot_patient_and_admission(spark, sf_dir, monkeypatch):
+    """With hot keys on the broadcast way the feature table stays the same."""
+    t = Tables(spark, sf_dir)
+    want = features(t).orderBy("hadm_id", "icustay_id").collect()
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (2,))
+    assert len(joins.hot_keys(t.fx_icustays, ["subject_id", "hadm_id"])) > 0
+    assert features(t).orderBy("hadm_id", "icustay_id").collect() == want
+
+
 def test_training_chain(stages, monkeypatch):
     monkeypatch.setattr(ml, "C_GRID", [1.0])
     reports = training.clean(stages, rows=5000)

@@ -108,9 +108,12 @@ def test_hot_keys_take_the_broadcast_way(spark):
     from cohorta.operators.joins import hot_keys, lookup_join
     left = spark.range(9000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     right = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    hot = hot_keys(left, ["k"], 9000)
+    hot = hot_keys(left, ["k"], 1000)
     assert [r["k"] for r in hot] == [0]
-    assert rows(lookup_join(left, right, ["k"], hot)) == rows(left.join(right, "k").select("k", "id", "w"))
+    right = right.filter("k % 5 != 1")
+    for how in ("inner", "left"):
+        got = lookup_join(left, right, ["k"], hot, how).select("id", "k", "w").orderBy("id").collect()
+        assert got == left.join(right, "k", how).select("id", "k", "w").orderBy("id").collect()
 
 
 @pytest.mark.parametrize("minority", [2, 3, 5, 6, 40])
