@@ -50,13 +50,13 @@ def sample_two_thirds(t):
 
 
 @query("upsample_n", f"""
-    with n as (select 2 * count(*) + 500 as n from customer),
+    with n as (select 7 * count(*) // 3 as n from customer),
     copies as (select c_custkey, c_nationkey, copy_no
                from customer, (select unnest([0, 1, 2]) as copy_no) c)
     select c_custkey, c_nationkey, copy_no from copies
     order by {u_sql("c_custkey || ':' || copy_no")}, c_custkey, copy_no limit (select n from n)""")
 def upsample_n(t):
-    n = 2 * t.customer.count() + 500
+    n = 7 * t.customer.count() // 3
     return (sampling.upsample_rows(t.customer, n, ["c_custkey"])
             .select("c_custkey", "c_nationkey", "copy_no"))
 

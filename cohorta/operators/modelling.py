@@ -32,7 +32,7 @@ GAMMAS = ["scale", "auto"]
 GRID_TOL = 1e-4
 SVM_TOL = 1e-3
 
-ROWS_PER_TASK = 50_000
+ROWS_PER_TASK = 250_000
 KERNELS = ["linear", "rbf"]
 
 
