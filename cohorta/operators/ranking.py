@@ -77,12 +77,10 @@ def running_totals(df: DataFrame, order: str, sums: dict[str, str], groups: list
     the rows they are added to come from the same placement, also after a lost executor.
     """
     groups = groups or []
-    spark = df.sparkSession
     key = F.desc(order) if descending else F.asc(order)
-    placed = materialise(
-        df.repartitionByRange(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              *[F.asc(g) for g in groups], key)
-        .withColumn("_part", F.spark_partition_id()))
+    # Without a number, adaptive execution may merge small neighbouring ranges.
+    ranges = ([partitions] if partitions else []) + [F.asc(g) for g in groups] + [key]
+    placed = materialise(df.repartitionByRange(*ranges).withColumn("_part", F.spark_partition_id()))
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     part_sums = placed.groupBy(*groups, "_part").agg(*[F.sum(c).alias(c) for c in sums])
     offsets = part_sums.select(*groups, "_part", *[
