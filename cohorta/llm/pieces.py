@@ -1,7 +1,7 @@
-"""Pieces of texts that a tokenizer merges each on their own, as Arrow arrays without Python strings.
+"""Pieces of texts that a tokenizer merges each on their own.
 
-Texts of plain characters are cut by Arrow's own functions; the others, few in most corpora, by the
-tokenizer's pattern itself. Equal pieces of a batch become one entry of a dictionary.
+Texts of plain characters are cut by a fast pattern that does the same there; the others, few in
+most corpora, by the tokenizer's pattern itself. Equal pieces of a batch become one entry of a dictionary.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,13 @@ BYTE_PATTERN = regex.compile(
 MARK = "\x00 "  # starts what stands for a special string; no piece starts so
 CHUNK_BYTES = 24_000_000  # texts cut together
 
-# Characters after which a text needs the pattern itself: contractions, special strings, white
-# space or letters on which Arrow's functions and the pattern may not agree.
+# The same on plain texts, for the faster module: letters and numbers of the first 256 characters.
+_L, _N = "a-zA-Zªµº\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9²³¹¼-¾"
+_PLAIN_WORDS = re.compile(rf"[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+_PLAIN_BYTES = re.compile(rf" ?(?:[{_L}]+|[{_N}]+|[^\s{_L}{_N}]+)|\s")
+
+# What makes a text need the pattern itself: contractions, special strings, characters beyond the
+# first 256 and white space on which the two modules may not agree.
 _ODD = r"['\x00\x0b\x1c-\x1f\x{85}\x{a0}]|<\||[^\x00-\x{ff}]"
 
 
@@ -42,30 +48,23 @@ class Pieces:
     entries: pa.StringArray
     numbers: np.ndarray
     counts: np.ndarray
+    plain: bool  # pieces and white space make the text again, letter by letter, but for the case
 
 
 def lowered(text: str) -> str:
     """NFC and lower case letter by letter."""
+    if text.isascii():
+        return text.lower()
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-def _cut_words(plain: pa.Array) -> pa.ListArray:
-    apart = pc.replace_substring_regex(pc.utf8_lower(plain), r"(\pN|[^\s\pL\pN]+)", r" \1 ")
-    return pc.ascii_split_whitespace(apart)
-
-
-def _cut_bytes(plain: pa.Array) -> pa.ListArray:
-    marked = pc.replace_substring_regex(plain, r"( ?\pL+| ?\pN+| ?[^\s\pL\pN]+|\s)", "\x00\\1")
-    return pc.split_pattern(marked, "\x00")
-
-
 @dataclass
 class Cutter:
     """How one kind of tokenizer cuts a text."""
 
     pattern: regex.Pattern
+    plain: re.Pattern
     odd: str
-    cut: Callable
     change: Callable = str  # what happens to a text first
 
     def pieces(self, text: str, special: re.Pattern | None) -> list[str]:
@@ -85,23 +84,21 @@ class Cutter:
             some = texts.slice(part[0], len(part))
             odd = pc.match_substring_regex(some, self.odd).to_numpy(zero_copy_only=False)
             if not odd.all():
-                yield _group(part[~odd], self.cut(some.filter(pa.array(~odd))))
+                lists = [self.plain.findall(self.change(t)) for t in some.filter(pa.array(~odd)).to_pylist()]
+                yield _group(part[~odd], lists, True)
             if odd.any():
                 lists = [self.pieces(t, special) for t in some.filter(pa.array(odd)).to_pylist()]
-                yield _group(part[odd], pa.array(lists, pa.list_(pa.string())))
+                yield _group(part[odd], lists, False)
 
 
-def _group(rows: np.ndarray, lists: pa.ListArray) -> Pieces:
-    flat = lists.flatten()
-    if isinstance(flat, pa.ChunkedArray):
-        flat = flat.combine_chunks()
-    found = flat.dictionary_encode()
+def _group(rows: np.ndarray, lists: list[list[str]], plain: bool) -> Pieces:
+    found = pa.array(chain.from_iterable(lists), pa.string()).dictionary_encode()
     return Pieces(rows, found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-                  pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+                  np.fromiter(map(len, lists), np.int64, len(lists)), plain)
 
 
-WORDS = Cutter(WORD_PATTERN, _ODD, _cut_words, lowered)
-BYTES = Cutter(BYTE_PATTERN, _ODD + r"|\s\s|\s\z", _cut_bytes)
+WORDS = Cutter(WORD_PATTERN, _PLAIN_WORDS, _ODD, lowered)
+BYTES = Cutter(BYTE_PATTERN, _PLAIN_BYTES, _ODD + r"|\s\s|\s\z")
 
 
 def special_pattern(bpe: Bpe) -> re.Pattern | None:
