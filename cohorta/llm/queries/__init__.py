@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohorta.llm.queries.registry import ORACLES, QUERIES
-from cohorta.llm.queries import encoding, filters  # noqa: F401  (importing registers the queries)
+from cohorta.llm.queries import encoding, filters, search  # noqa: F401  (importing registers the queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
