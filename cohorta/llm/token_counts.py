@@ -24,6 +24,7 @@ from cohorta.llm.pieces import WORDS, Pieces, Rows, lowered, marks_of, special_p
 travels(__name__)
 
 LATEST = np.int64(2**40)
+BLOCK_BYTES = 400_000  # pieces whose tokens are held at once
 
 # White space as the tokenizer's pattern sees it.
 _WORD = re.compile("[^\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -122,6 +123,12 @@ class PrefixCounter:
 
     def counts(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """For each byte of each piece: the tokens of the piece up to and with that byte."""
+        ends = np.cumsum(lengths)
+        parts = np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1)
+        return np.concatenate([self._counts(flat[ends[p[0]] - lengths[p[0]]:ends[p[-1]]], lengths[p])
+                               for p in parts if len(p)] or [np.zeros(0, np.int64)])
+
+    def _counts(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         total = int(lengths.sum())
         if not total:
             return np.zeros(0, np.int64)
