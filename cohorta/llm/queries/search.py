@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohorta.llm import cross_polytope
+from cohorta.llm import cross_polytope, jaccard_join
 from cohorta.llm.common import table
 from cohorta.llm.queries.registry import query
 
@@ -12,3 +12,8 @@ from cohorta.llm.queries.registry import query
 @query("op6_cross_polytope")
 def neighbours(spark, folder):
     return cross_polytope.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op10_set_relations")
+def similar_documents(spark, folder):
+    return jaccard_join.similar_classes(table(spark, folder, "documents"))
