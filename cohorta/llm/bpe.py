@@ -33,8 +33,8 @@ def byte_letters() -> list[str]:
 class PairTable:
     """Open-addressing table from pairs of ids below 65,536 to numbers, looked up by arrays."""
 
-    def __init__(self, left: np.ndarray, right: np.ndarray, values: np.ndarray):
-        self.bits = max(int(np.ceil(np.log2(max(len(left), 1) * 8))), 4)
+    def __init__(self, left: np.ndarray, right: np.ndarray, values: np.ndarray, room: int = 8):
+        self.bits = max(int(np.ceil(np.log2(max(len(left), 1) * room))), 4)
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.full(1 << self.bits, NONE, np.int32)
         keys = left.astype(np.int64) << 16 | right

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohorta.llm import cross_polytope, jaccard_join
+from cohorta.llm import cross_polytope, jaccard_join, suffix_levels
 from cohorta.llm.common import table
 from cohorta.llm.queries.registry import query
 
@@ -17,3 +17,11 @@ def neighbours(spark, folder):
 @query("op10_set_relations")
 def similar_documents(spark, folder):
     return jaccard_join.similar_classes(table(spark, folder, "documents"))
+
+
+@query("op4_suffix_levels")
+def repeats(spark, folder):
+    cut = suffix_levels.remove_repeats(table(spark, folder, "documents"), with_bytes=False)
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda t, x: t + x)
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                      F.lower(F.hex("kept")).alias("kept_sha256"))

@@ -89,7 +89,8 @@ class Lexicon:
                 target.append(t)
                 output.append(below[s])
                 below[s] += below[t]
-        table = PairTable(np.array(source, np.int64), np.array(letter, np.int64), np.arange(len(source), dtype=np.int32))
+        table = PairTable(np.array(source, np.int64), np.array(letter, np.int64), np.arange(len(source), dtype=np.int32),
+                          room=2)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ids, counts = bpe.encode(np.frombuffer(b"".join(words), np.uint8), lengths)
         return {"keys": table.keys, "edges": table.values, "targets": np.array(target, np.int32),
