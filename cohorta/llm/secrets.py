@@ -209,3 +209,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_t
     id_type = dict(docs.dtypes)[id_col]
     picked = docs.select(docs[id_col].alias("doc_id"), text_of(text_col).alias("text"))
     return picked.mapInArrow(run, SCAN_SCHEMA.replace("doc_id long", f"doc_id {id_type}", 1))
+
+
+def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs``, all columns, with every found span replaced by a mark.
+
+    ``length_col``, if there is one, becomes the new length in code points. Null texts stay null.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            texts = []
+            for text in batch.column(at).to_pylist():
+                spans = base_spans(text) + confirmed_spans(text) if text else []
+                texts.append(redact(text, spans) if spans else text)
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            if length_col in batch.schema.names:
+                n = batch.schema.get_field_index(length_col)
+                columns[n] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(n).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -17,6 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -429,3 +430,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = scanned.filter(F.col("kind") == _SPANS).unionByName(compared)
     return new.groupBy("target").cogroup(spans.groupBy("target")).applyInArrow(
         lambda t, s: _cut(t, s, with_bytes), KEPT)
+
+
+def whole_characters(kept):
+    """Bytes as text, without what is left of characters of which some bytes were cut."""
+    @F.pandas_udf("string")
+    def text(data: pd.Series) -> pd.Series:
+        return data.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+    return text(kept)
