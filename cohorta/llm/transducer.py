@@ -95,7 +95,7 @@ class Lexicon:
         ids, counts = bpe.encode(np.frombuffer(b"".join(words), np.uint8), lengths)
         return {"keys": table.keys, "edges": table.values, "targets": np.array(target, np.int32),
                 "outputs": np.array(output, np.int32), "accepts": np.array(accepts, np.uint8),
-                "starts": np.append(0, np.cumsum(counts)).astype(np.int64), "ids": ids.astype(np.int32),
+                "starts": np.concatenate(([0], np.cumsum(counts), [len(ids)])).astype(np.int64), "ids": ids.astype(np.int32),
                 "root": np.array([len(states) - 1], np.int64)}
 
     @staticmethod
