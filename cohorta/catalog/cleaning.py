@@ -50,6 +50,18 @@ def impute_mode_numeric(t):
     return cleaning.mode_imputer(df, ["supp"]).transform(df)
 
 
+@query("impute_mode_nan", """
+    select l_orderkey, l_linenumber,
+           case when l_linenumber in (3, 4)
+                then (select l_quantity from lineitem where l_linenumber not in (3, 4)
+                      group by l_quantity order by count(*) desc, l_quantity limit 1)
+                else l_quantity end as qty from lineitem""")
+def impute_mode_nan(t):
+    df = t.lineitem.select(*KEYS, F.when(F.col("l_linenumber") == 4, F.lit(float("nan")))
+                           .when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("qty"))
+    return cleaning.mode_imputer(df, ["qty"]).transform(df)
+
+
 @query("fill_zero", with_views("fx_holes", """
     select l_orderkey, l_linenumber, round(coalesce(qty, 0), 6) as qty, coalesce(supp, 0) as supp
     from fx_holes"""))

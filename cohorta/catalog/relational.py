@@ -226,6 +226,14 @@ def replicate_rows(t):
     return rel.replicate_rows(t.customer, 4).select("c_custkey", "copy_no")
 
 
+@query("src_csv_text", "select doc_id, text, lang, source from documents")
+def src_csv_text(t):
+    path = scratch_path(t.spark, "documents-csv")
+    df = t.documents.select("doc_id", "text", "lang", "source")
+    src.write_csv(df, path)
+    return src.read_csv(t.spark, path, df.schema)
+
+
 @query("src_csv_roundtrip", with_views("fx_predictions", """
     select actual, prediction, round(probability, 6) as probability from fx_predictions"""))
 def src_csv_roundtrip(t):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 
 from pyspark import cloudpickle
@@ -28,6 +29,12 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of what is written by now: its cleaner follows the JVM's."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends at the files."""
     path = scratch_path(df.sparkSession, name)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.llm.bpe import ragged
-from cohorta.llm.common import stored, text_of, travels
+from cohorta.llm.common import release, stored, text_of, travels
 
 travels(__name__)
 
@@ -32,8 +32,10 @@ LENGTH = 100  # bytes of a match
 GRAM = 24
 SAMPLED = LENGTH - GRAM + 1  # fingerprints in a window
 BATCHES = 8
-CHUNK_BYTES = 6_000_000  # documents whose entries travel together; below 2 ** 24
+CHUNK_BYTES = 6_000_000  # documents whose entries travel together
+BLOCK_BYTES = 1_000_000  # documents that are sampled together; several numbers per byte are held
 GROUP_BYTES = 8_000_000  # text of the documents that are put together in one task
+COMPARED_BYTES = 2_000_000  # stretches, by whole keys, whose windows are ranked together
 BUCKET_BYTES = 16_000_000  # text behind the entries of one bucket
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -60,7 +62,7 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 def entries_of(texts: list[bytes], docs: np.ndarray, keys: np.ndarray, batches: np.ndarray) -> np.ndarray:
-    """All entries of some documents (together below 2 ** 24 bytes unless it is one alone)."""
+    """All entries of some documents."""
     flat = np.frombuffer(b"".join(texts), np.uint8)
     n, sizes = len(flat), np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
@@ -69,7 +71,8 @@ def entries_of(texts: list[bytes], docs: np.ndarray, keys: np.ndarray, batches:
     # Fingerprints of GRAM bytes by doubling: 1, 2, 4, 8, 16 bytes; 24 = 16 + 8.
     h, width, factor, kept = flat.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15, {}
     while width < GRAM:
-        kept[width] = (h, factor)
+        if GRAM & width:
+            kept[width] = (h, factor)
         h = h[:len(h) - width] * np.uint64(factor) + h[width:]
         factor, width = factor * factor % 2**64, width * 2
         if width * 2 > GRAM:
@@ -253,6 +256,34 @@ def _group_of(docs: np.ndarray, groups: int) -> np.ndarray:
     return (_mixed(docs.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
 
 
+_SENT = [("key", "<u8"), ("stretch", "<u8"), ("owner", "<u4"), ("at", "<u4"), ("before", "u1"), ("more", "u1"),
+         ("batch", "<u2")]
+
+
+def packed(records: np.ndarray) -> bytes:
+    """Entries by column, each document's id and key once; other records as they are."""
+    if records.dtype != _ENTRY:
+        return records.tobytes()
+    documents, owner = np.unique(records[["doc", "text"]], return_inverse=True)
+    columns = [owner.astype("<u4") if name == "owner" else records[name].astype(kind) for name, kind in _SENT]
+    head = np.array([len(records), len(documents)], "<u4").tobytes()
+    return b"".join([head, documents["doc"].tobytes(), documents["text"].tobytes(), *[c.tobytes() for c in columns]])
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n, m = np.frombuffer(data, "<u4", 2).tolist()
+    out, at = np.zeros(n, _ENTRY), 8 + 16 * m
+    for name, kind in _SENT:
+        column = np.frombuffer(data, kind, n, at)
+        at += column.nbytes
+        if name == "owner":
+            out["doc"] = np.frombuffer(data, "<i8", m, 8)[column]
+            out["text"] = np.frombuffer(data, "<u8", m, 8 + 8 * m)[column]
+        else:
+            out[name] = column
+    return out
+
+
 def _rows(kind: int, target: np.ndarray, records: np.ndarray, extra: list[bytes] | None = None) -> pa.RecordBatch:
     """One row per target with its records' bytes (and, joined, the extra bytes of each record)."""
     order = np.argsort(target, kind="stable")
@@ -265,7 +296,7 @@ def _rows(kind: int, target: np.ndarray, records: np.ndarray, extra: list[bytes]
         more = [b"".join(extra[a:b]) for a, b in zip(first.tolist(), [*cuts.tolist(), len(extra)])]
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(first), kind, np.int32)), pa.array(target[first]),
-         pa.array([x.tobytes() for x in np.split(records, cuts)][:len(first)], pa.binary()), pa.array(more, pa.binary())],
+         pa.array([packed(x) for x in np.split(records, cuts)][:len(first)], pa.binary()), pa.array(more, pa.binary())],
         names=["kind", "target", "data", "extra"])
 
 
@@ -274,6 +305,8 @@ _SPANS, _ENTRIES, _LEVEL = 0, 1, 2
 
 
 def _records(column: pa.ChunkedArray, kind: np.dtype) -> np.ndarray:
+    if kind == _ENTRY:
+        return np.concatenate([np.zeros(0, _ENTRY), *map(unpacked, column.to_pylist())])
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
@@ -300,7 +333,11 @@ def _entry_rows(docs: DataFrame, id_col: str, text_col: str, bounds: list[int],
                 texts = batch.column(1).take(pa.array(part)).to_pylist()
                 ids = batch.column(0).to_numpy()[part]
                 keys = np.array([text_key(t) for t in texts], np.uint64)
-                entries = entries_of(texts, ids, keys, np.searchsorted(limits, ids, "right"))
+                batch_no = np.searchsorted(limits, ids, "right")
+                blocks = np.cumsum([len(t) for t in texts]) // BLOCK_BYTES
+                entries = np.concatenate([
+                    entries_of(texts[b[0]:b[-1] + 1], ids[b], keys[b], batch_no[b])
+                    for b in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(blocks)) + 1)])
                 fresh, repeated = split_repeats(entries)
                 if len(fresh):
                     yield _rows(_ENTRIES, ((fresh["key"] >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64), fresh)
@@ -319,7 +356,7 @@ def scan_levels(table: pa.Table, groups: int, with_levels: bool) -> pa.Table:
     if target < 0:  # spans on the way to their group
         return table.set_column(1, "target", pa.array([-1 - target] * len(table), pa.int64()))
     kinds = np.array(table.column("kind").to_pylist())
-    levels = Levels([np.frombuffer(d.as_py(), _ENTRY) for d, k in zip(table.column("data"), kinds) if k == _LEVEL])
+    levels = Levels([unpacked(d.as_py()) for d, k in zip(table.column("data"), kinds) if k == _LEVEL])
     levels.levels.sort(key=lambda x: -len(x))
     entries = _records(table.column("data").filter(pa.array(kinds == _ENTRIES)), _ENTRY)
     found = [np.zeros(0, _SPAN)]
@@ -352,7 +389,7 @@ def _compare(table: pa.Table, groups: int) -> pa.Table:
     # Parts of whole keys, so that the arrays of a part stay small.
     order = np.argsort(entries["key"], kind="stable")
     keys = entries["key"][order]
-    sizes = np.cumsum(entries["more"][order].astype(np.int64) + LENGTH) // 4_000_000
+    sizes = np.cumsum(entries["more"][order].astype(np.int64) + LENGTH) // COMPARED_BYTES
     new_key = np.concatenate(([True], keys[1:] != keys[:-1]))
     step = np.maximum.accumulate(np.where(new_key, sizes, 0))
     out = [np.zeros(0, _SPAN)]
@@ -383,11 +420,6 @@ def _cut(texts: pa.Table, spans: pa.Table, with_bytes: bool) -> pa.Table:
     return pa.table({name: pa.array(c, k) for name, c, k in zip(["doc_id", "n_bytes", "starts", "ends", "kept"], columns, kinds)})
 
 
-def _release(spark) -> None:
-    """Let Spark drop the shuffle files of what is stored by now."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True,
                    batches: int = BATCHES, earlier: DataFrame | None = None, index: str | None = None,
                    index_out: str | None = None) -> DataFrame:
@@ -407,7 +439,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sized = docs.filter(docs[id_col].isNotNull())
     total = sized.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
     bounds = sized.select(F.col(id_col).cast("double").alias("i")).approxQuantile(
-        "i", [k / batches for k in range(1, batches)], 0.01) if total else []
+        "i", [k / batches for k in range(1, batches)], 0.01) if total and batches > 1 else []
     bounds = [int(b) for b in bounds]
     groups, buckets = max(total // GROUP_BYTES, 16), max(total // BUCKET_BYTES, 16)
     rows = _entry_rows(docs, id_col, text_col, bounds, buckets, groups)
@@ -419,14 +451,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scanned = stored(rows.groupBy("target").applyInArrow(lambda t: scan_levels(t, groups, keep_levels), _SHAPE), "levels")
     if keep_levels:
         scanned.filter(F.col("kind") == _LEVEL).withColumn("buckets", F.lit(buckets)).write.parquet(index_out)
-    _release(spark)
+    release(spark)
     new = _texts(docs, id_col, text_col, groups)
     every = new if earlier is None else new.unionByName(_texts(earlier, id_col, text_col, groups))
     asked = scanned.filter(F.col("kind") == _ENTRIES)
     fetched = every.groupBy("target").cogroup(asked.groupBy("target")).applyInArrow(
         lambda t, a: _fetch(t, a, buckets), _SHAPE)
     compared = stored(fetched.groupBy("target").applyInArrow(lambda t: _compare(t, groups), _SHAPE), "windows")
-    _release(spark)
+    release(spark)
     spans = scanned.filter(F.col("kind") == _SPANS).unionByName(compared)
     return new.groupBy("target").cogroup(spans.groupBy("target")).applyInArrow(
         lambda t, s: _cut(t, s, with_bytes), KEPT)

@@ -53,7 +53,8 @@ def mean_imputer_nan(df: DataFrame, cols: list[str]) -> Transformer:
 
 
 def mode_imputer(df: DataFrame, cols: list[str], default: str = "Unknown") -> Transformer:
-    """NULL becomes the most frequent value; a text column without values gets ``default``."""
+    """NULL, and NaN in a fraction, becomes the most frequent value; a text column without values
+    gets ``default``, a number column without values is left alone."""
     if not cols:
         return replace_columns({})
     modes = {r["column"]: r["value"] for r in column_mode(df, cols).collect()}
@@ -62,7 +63,8 @@ def mode_imputer(df: DataFrame, cols: list[str], default: str = "Unknown") -> Tr
     for c in cols:
         if c not in modes and kinds[c] != "string":
             continue
-        exprs[c] = f"coalesce(`{c}`, cast({_text(modes.get(c, default))} as {kinds[c]}))"
+        old = f"nanvl(`{c}`, cast(null as {kinds[c]}))" if kinds[c] in ("double", "float") else f"`{c}`"
+        exprs[c] = f"coalesce({old}, cast({_text(modes.get(c, default))} as {kinds[c]}))"
     return replace_columns(exprs)
 
 

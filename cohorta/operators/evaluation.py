@@ -103,11 +103,11 @@ def _cumulated(df: DataFrame, actual: str, score: str, groups: list[str]) -> tup
 
 
 def _with_totals(df: DataFrame, totals: DataFrame, groups: list[str]) -> DataFrame:
-    """Attach the totals: one row per group."""
+    """Attach the totals: one row per group, one at all without groups."""
     if groups:
-        return df.join(F.broadcast(totals), groups)
-    row = totals.first()
-    return df.withColumns({"P": F.lit(row["P"]), "N": F.lit(row["N"])})
+        return df.join(totals, groups)
+    one = F.broadcast(totals.withColumn("_all", F.lit(1)))
+    return df.withColumn("_all", F.lit(1)).join(one, "_all").drop("_all")
 
 
 def roc_curve(df: DataFrame, actual: str = "actual", score: str = "probability",
@@ -142,7 +142,7 @@ def compare_models(df: DataFrame, actual: str = "actual", predicted: str = "pred
                    score: str = "score", model: str = "model") -> DataFrame:
     """(model, accuracy, precision, recall, f1, auc) for scored rows of several models."""
     return (binary_metrics(df, actual, predicted, [model])
-            .join(F.broadcast(auc(df, actual, score, [model])), model))
+            .join(auc(df, actual, score, [model]), model))
 
 
 def compare_roc(df: DataFrame, run: str, actual: str = "actual", score: str = "probability",

@@ -32,9 +32,11 @@ GAMMAS = ["scale", "auto"]
 GRID_TOL = 1e-4
 SVM_TOL = 1e-3
 
-ROWS_PER_TASK = 250_000
 KERNELS = ["linear", "rbf"]
 
+ROWS_PER_TASK = 250_000
+LEAST_ROWS_PER_TASK = 50_000
+
 
 def penalty_weight(c: float, rows: int) -> float:
     """C weighs the summed loss against the penalty, Spark weighs the mean loss: 1 / (C n)."""
@@ -43,9 +45,10 @@ def penalty_weight(c: float, rows: int) -> float:
 
 def _dealt(df: DataFrame, rows: int) -> DataFrame:
     """Training rows in even partitions: one shuffle against hundreds of passes over them.
-    Small tables get few partitions, as each pass starts one task per partition."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(min(rows // ROWS_PER_TASK + 1, width))
+    Their number grows with the rows. Small tables get few partitions, as each pass starts one
+    task per partition; middling ones as many as there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(rows // ROWS_PER_TASK + 1, min(rows // LEAST_ROWS_PER_TASK + 1, cores)))
 
 
 def fit_logistic(df: DataFrame, features: str, label: str, c: float = 1.0, penalty: str = "l2",

@@ -100,7 +100,7 @@ def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def column_mode(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value, n): most frequent non-null value, the smallest one on a tie.
+    """(column, value, n): most frequent value that is neither NULL nor NaN, the smallest on a tie.
 
     Counts are reduced per value first, so no task holds all values of a column. Numbers
     are ordered as numbers, everything else as text.
@@ -112,7 +112,7 @@ def column_mode(df: DataFrame, cols: list[str]) -> DataFrame:
         names = [c for c in cols if kinds[c] == kind]
         if not names:
             continue
-        counts = (df.select(*[F.col(c).cast(kind).alias(c) for c in names])
+        counts = (df.select(*[without_nan(c).alias(c) if kind == "double" else F.col(c).cast(kind).alias(c) for c in names])
                   .unpivot([], names, "column", "value")
                   .filter(F.col("value").isNotNull())
                   .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))

@@ -11,7 +11,11 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohorta.session import materialise, parallelism
+from cohorta.session import materialise
+
+# Equal slices of a uniform hash. Offsets are one small row per slice and group; a slice holds a
+# 65,536th of a group, whatever the number of partitions.
+SLICES = 65_536
 
 
 def _with_offsets(df: DataFrame, per_bucket: DataFrame, keys: list[str], added: list[str]) -> DataFrame:
@@ -24,15 +28,14 @@ def _with_offsets(df: DataFrame, per_bucket: DataFrame, keys: list[str], added:
 
 
 def hash_rank(df: DataFrame, u: str, tie: list[str], groups: list[str] | None = None,
-              rank_col: str = "rank", buckets: int | None = None) -> DataFrame:
+              rank_col: str = "rank") -> DataFrame:
     """0-based position of each row in the order (u, tie) inside its group.
 
     ``u`` is uniform in [0, 1), so equal-width buckets hold equal shares of the rows
     even when one group holds most of the table. ``groups`` must be few (class labels).
     """
     groups = groups or []
-    buckets = buckets or parallelism(df.sparkSession)
-    placed = df.withColumn("_bucket", F.floor(F.col(u) * buckets).cast("int"))
+    placed = df.withColumn("_bucket", F.floor(F.col(u) * SLICES).cast("int"))
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
                .select(*groups, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
@@ -49,7 +52,7 @@ def take_by_hash(df: DataFrame, n: int, u: str, tie: list[str], small: int = 200
     all slices above. A plain sort with limit would send n rows of every partition to one
     task. What is left is sorted if it is small; else only the slice at the cut is ranked.
     """
-    slices = 65_536
+    slices = SLICES
     slice_of = F.floor(F.col(u) * slices).cast("int")
     sizes = dict(df.groupBy(slice_of.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect())
     below, cut = 0, 0

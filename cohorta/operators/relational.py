@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.config import ADMISSION_KEYS, LABEL, STAY_KEYS, TOP_LAB_ITEMS, VITAL_ITEMS
 from cohorta.functions.scalar import age_years
-from cohorta.operators.joins import hot_keys, lookup_join
 
 
 def filter_isin(df: DataFrame, col: str, values: list) -> DataFrame:
@@ -29,18 +28,14 @@ def drop_incomplete(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.na.drop(subset=cols)
 
 
-def merge_core(admissions: DataFrame, patients: DataFrame, icustays: DataFrame,
-               hot_admissions: list[Row] | None = None) -> DataFrame:
+def merge_core(admissions: DataFrame, patients: DataFrame, icustays: DataFrame) -> DataFrame:
     """Admissions with their patient and ICU stays, plus the age at admission.
 
-    A patient with very many admissions and an admission with very many stays are
-    looked up by broadcast, so no task receives all their rows.
+    Plain joins: a patient or an admission with very many rows is split by adaptive execution.
     """
-    if hot_admissions is None:
-        hot_admissions = hot_keys(icustays, ADMISSION_KEYS)
     admissions, patients, icustays = (t.drop("row_id") for t in (admissions, patients, icustays))
-    visits = lookup_join(admissions, patients, ["subject_id"], hot_keys(admissions, ["subject_id"]))
-    core = lookup_join(icustays, visits, ADMISSION_KEYS, hot_admissions)
+    visits = admissions.join(patients, "subject_id")
+    core = icustays.join(visits, ADMISSION_KEYS)
     stay_columns = [c for c in icustays.columns if c not in ADMISSION_KEYS]
     rest = [c for c in visits.columns if c not in ADMISSION_KEYS]
     return (core.select(*ADMISSION_KEYS, *rest, *stay_columns)
@@ -83,19 +78,14 @@ def comorbidity_count(diagnoses: DataFrame) -> DataFrame:
             .agg(F.count_distinct("icd9_code").alias("num_comorbidities")))
 
 
-def merge_features(core: DataFrame, vitals: DataFrame, labs: DataFrame, comorbidities: DataFrame,
-                   hot_admissions: list[Row] | None = None) -> DataFrame:
+def merge_features(core: DataFrame, vitals: DataFrame, labs: DataFrame, comorbidities: DataFrame) -> DataFrame:
     """Left-join the aggregates to the core rows.
 
     Labs and comorbidities are put together first, one small row per admission, so the
-    core rows are joined twice, not three times. Admissions with very many stays are looked
-    up by broadcast.
+    core rows are joined twice, not three times.
     """
-    if hot_admissions is None:
-        hot_admissions = hot_keys(core, ADMISSION_KEYS)
     per_admission = labs.join(comorbidities, ADMISSION_KEYS, "full")
-    joined = (lookup_join(core, per_admission, ADMISSION_KEYS, hot_admissions, "left")
-              .join(vitals, STAY_KEYS, "left"))
+    joined = core.join(per_admission, ADMISSION_KEYS, "left").join(vitals, STAY_KEYS, "left")
     added = [c for side in (vitals, labs, comorbidities) for c in side.columns
              if c not in STAY_KEYS]
     return joined.select(*core.columns, *added)
@@ -104,13 +94,12 @@ def merge_features(core: DataFrame, vitals: DataFrame, labs: DataFrame, comorbid
 def feature_table(admissions: DataFrame, patients: DataFrame, icustays: DataFrame,
                   chartevents: DataFrame, labevents: DataFrame, diagnoses: DataFrame,
                   vital_items: list[int] = VITAL_ITEMS, top_labs: int = TOP_LAB_ITEMS) -> DataFrame:
-    """Raw tables to one row per ICU stay, as a single plan."""
-    hot = hot_keys(icustays, ADMISSION_KEYS)
+    """Raw tables to one row per ICU stay, as a single lazy plan."""
     return merge_features(
-        merge_core(admissions, patients, icustays, hot),
+        merge_core(admissions, patients, icustays),
         vitals_by_stay(chartevents, vital_items),
         labs_by_admission(labevents, top_labs),
-        comorbidity_count(diagnoses), hot)
+        comorbidity_count(diagnoses))
 
 
 def category_counts(df: DataFrame, col: str) -> DataFrame:

@@ -29,10 +29,15 @@ def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = SEED) -> Dat
 
 
 def upsample_rows(df: DataFrame, n: int, keys: list[str], seed: int = SEED) -> DataFrame:
-    """n rows out of equal copies of the table; a row appears at most n // count + 1 times."""
+    """n rows out of equal copies of the table; a row appears at most n // count + 1 times.
+
+    Fewer rows than the table has are refused: that is ``sample_rows``.
+    """
     rows = df.count()
     if rows == 0:
         raise ValueError("cannot up-sample an empty table")
+    if n < rows:
+        raise ValueError(f"{n} rows are fewer than the table's {rows}; sample_rows draws fewer rows")
     copies = replicate_rows(df, n // rows + 1)
     drawn = copies.withColumn("_u", hash_uniform(*keys, "copy_no", seed=seed))
     return take_by_hash(drawn, n, "_u", [*keys, "copy_no"]).drop("_u")
@@ -83,8 +88,10 @@ def smote(df: DataFrame, features: list[str], label: str, key: str, k: int = 5,
 
     A new row lies between a drawn row and one of its k nearest rows of the same class:
     x + u (neighbour - x), one u per row. Returns key (NULL on new rows), features,
-    label and ``synthetic``. Classes are few; neighbours are exact.
+    label and ``synthetic``. Classes are few; neighbours are exact. A NULL or NaN feature of a
+    labelled row is refused: such a row has no neighbours.
     """
+    _check_features(df.filter(F.col(label).isNotNull()), features)
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
              if r[label] is not None}
     largest = max(sizes.values())
@@ -103,6 +110,12 @@ def smote(df: DataFrame, features: list[str], label: str, key: str, k: int = 5,
     return out
 
 
+def _check_features(df: DataFrame, features: list[str]) -> None:
+    bad = [F.col(f).isNull() | F.isnan(F.col(f).cast("double")) for f in features]
+    if df.filter(F.greatest(F.lit(False), *bad)).limit(1).count():
+        raise ValueError("features with NULL or NaN have no neighbours: fill them first")
+
+
 def _new_rows(members: DataFrame, size: int, n: int, features: list[str], key: str, k: int,
               seed: int, cell_rows: int) -> DataFrame:
     """(draw, base, neighbour, features...) of n synthetic rows."""
@@ -127,6 +140,7 @@ def _new_rows(members: DataFrame, size: int, n: int, features: list[str], key: s
 def smote_rows(df: DataFrame, features: list[str], label: str, key: str, value, k: int = 5,
                seed: int = SEED, cell_rows: int = 2048) -> DataFrame:
     """The new rows of one class with the rows they were drawn between."""
+    _check_features(df.filter(F.col(label) == value), features)
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     doubles = {f: F.col(f).cast("double") for f in features}
     members = df.filter(F.col(label) == value).select(key, *features).withColumns(doubles)

@@ -48,14 +48,18 @@ def sample(stages: Stages, rows: int = SAMPLED_ROWS, seed: int = SEED,
             "density": ex.density(drawn, columns, summary=summary), "counts": rel.value_counts(drawn, categorical)}
 
 
-def prepare(stages: Stages, source: str = "sampled", fit: bool = True) -> int:
-    """Impute, assemble and scale ``source``; ``fit=False`` applies the stored steps."""
+def prepare(stages: Stages, source: str = "sampled", fit: bool = True, fit_on: str = "features") -> int:
+    """Impute, assemble and scale ``source``; ``fit=False`` applies the stored steps.
+
+    Means, modes and scaling are fitted on the whole of ``fit_on``, not on the sample.
+    """
     df = stages.read(source)
     path = stages.path("preparation_model")
     if fit:
-        means = cleaning.mean_imputer_nan(df, CONTINUOUS)
-        modes = cleaning.mode_imputer(df, COUNTS)
-        filled = modes.transform(means.transform(df))
+        whole = stages.read(fit_on)
+        means = cleaning.mean_imputer_nan(whole, CONTINUOUS)
+        modes = cleaning.mode_imputer(whole, COUNTS)
+        filled = modes.transform(means.transform(whole))
         scaling = cleaning.fit_scaling(filled, NUMERIC, on_invalid="keep")
         ml.save_model(PipelineModel([means, modes, *scaling.stages]), path)
     return stages.write(ml.load_model(path).transform(df), f"{source}_prepared")

@@ -11,30 +11,28 @@ from pyspark.sql import functions as F
 
 from cohorta.config import (
     LABEL, LOG_ENGINEERED, LOG_SCALED, MODEL_FEATURES, NUMERIC, SCALED_FEATURES, SEED, STAY_KEYS,
-    UPSAMPLED_ROWS, VIF_FEATURES,
+    VIF_FEATURES,
 )
-from cohorta.functions import hash_uniform, log1p_columns
+from cohorta.functions import log1p_columns
 from cohorta.operators import cleaning, evaluation as ev, exploration as ex, modelling as ml
 from cohorta.operators import profiling as prof, sampling
-from cohorta.operators.ranking import hash_rank
 from cohorta.plans.stages import Stages
 from cohorta.sources.tables import load_predictions, write_csv
 
 ROW = "row_id"
 
 
-def clean(stages: Stages, rows: int | None = UPSAMPLED_ROWS, seed: int = SEED,
+def clean(stages: Stages, rows: int | None = None, seed: int = SEED,
           exact: bool = True, reports: bool = True) -> dict[str, DataFrame]:
-    """Up-sample to ``rows`` (None keeps the table), impute, profile, cap outliers."""
+    """Up-sample to ``rows`` (None keeps the table; fewer rows than it has are refused), impute,
+    profile, cap outliers. A row's id is a hash of its keys and its copy."""
     df = stages.read("features")
     if rows is not None:
         df = sampling.upsample_rows(df, rows, STAY_KEYS, seed)
     else:
         df = df.withColumn("copy_no", F.lit(0))
     keys = [*STAY_KEYS, "copy_no"]
-    df = hash_rank(df.withColumn("_u", hash_uniform(*keys, seed=seed, stream="row")), "_u", keys,
-                   rank_col=ROW).drop("_u")
-    stages.write(df, "drawn")
+    stages.write(df.withColumn(ROW, F.xxhash64(*keys)), "drawn")
     df = stages.read("drawn")
     kinds = prof.column_kinds(df, ids=[*keys, ROW, LABEL])
     numeric = [c for c, k in kinds.items() if k == "numeric"]

@@ -53,8 +53,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage: later jobs read the written rows and never recompute them."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Number of buckets for two-level windows; follows the cluster's shuffle width."""
-    return max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

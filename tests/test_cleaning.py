@@ -221,3 +221,37 @@ def test_inferred_and_explicit_csv(spark, tmp_path):
     assert read.columns == ["subject_id", "hadm_id", "icd9_code"]
     assert sorted(values(read, "icd9_code"), key=str) == ["0042", None]
     assert dict(tables.read_csv(spark, path).dtypes)["ICD9_CODE"] == "int"
+
+
+def test_mode_fills_null_and_nan(spark):
+    df = frame(spark, [(NAN,), (NAN,), (1.0,), (None,)], "x double")
+    assert values(cleaning.mode_imputer(df, ["x"]).transform(df), "x") == [1.0] * 4
+
+
+def csv_part(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+
+
+def test_csv_headers_are_checked(spark, tmp_path):
+    from cohorta.sources.tables import read_csv
+    from pyspark.sql.types import LongType, StructField, StructType
+    schema = StructType([StructField(c, LongType()) for c in ("subject_id", "hadm_id")])
+    csv_part(tmp_path / "a", "p0.csv", "HADM_ID,x,SUBJECT_ID\n7,z,1\n")
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "a"), schema).collect()] == [(1, 7)]
+    csv_part(tmp_path / "a", "p1.csv", "SUBJECT_ID,x,HADM_ID\n2,z,8\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(tmp_path / "a"), schema).collect()
+    csv_part(tmp_path / "b", "p0.csv", "subject_id,hadmid\n1,2\n")
+    with pytest.raises(ValueError, match="hadm_id"):
+        read_csv(spark, str(tmp_path / "b"), schema)
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "b"), schema, ("hadm_id",)).collect()] == [(1, None)]
+
+
+def test_csv_text_survives(spark, tmp_path):
+    from cohorta.sources.tables import read_csv, write_csv
+    texts = ['a "quoted", text', "two\nlines", " blanks ", "", None, '"', "back\\slash", "cr\r\nlf", "x,"]
+    df = frame(spark, list(enumerate(texts)), "i long, s string")
+    assert write_csv(df, str(tmp_path / "t")) == len(texts)
+    got = read_csv(spark, str(tmp_path / "t"), df.schema).orderBy("i")
+    assert values(got, "s") == texts

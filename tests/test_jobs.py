@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cohorta.catalog.jobs import TEXT, built
 from cohorta.catalog.registry import Tables
 from cohorta.catalog.relational import VITALS, features
-from cohorta.operators import joins, modelling as ml, relational as rel
+from cohorta.operators import modelling as ml, relational as rel
 from cohorta.plans import inference, training
 from cohorta.sources import tables
 
@@ -21,7 +21,7 @@ def test_features_from_raw_csv_files(spark, sf_dir, tmp_path):
     t = Tables(spark, sf_dir)
     files = {"ADMISSIONS": t.fx_admissions, "PATIENTS": t.fx_patients, "ICUSTAYS": t.fx_icustays,
              "CHARTEVENTS": t.fx_chartevents, "LABEVENTS": t.fx_labevents, "DIAGNOSES_ICD": t.fx_diagnoses,
-             "D_ICD_DIAGNOSES": t.fx_codes, "D_ITEMS": t.fx_codes}
+             "D_ICD_DIAGNOSES": t.fx_codes, "D_ITEMS": t.fx_codes.select(F.lit(1).alias("itemid"))}
     for name, df in files.items():
         out = df.withColumn("row_id", F.monotonically_increasing_id())
         tables.write_csv(out.select([F.col(c).alias(c.upper()) for c in out.columns]), f"{tmp_path}/{name}.csv")
@@ -36,13 +36,33 @@ def test_features_from_raw_csv_files(spark, sf_dir, tmp_path):
     assert got.count() == want.count()
 
 
-def test_hot_patient_and_admission(spark, sf_dir, monkeypatch):
-    """With hot keys on the broadcast way the feature table stays the same."""
-    t = Tables(spark, sf_dir)
-    want = features(t).orderBy("hadm_id", "icustay_id").collect()
-    monkeypatch.setattr(joins.hot_keys, "__defaults__", (2,))
-    assert len(joins.hot_keys(t.fx_icustays, ["subject_id", "hadm_id"])) > 0
-    assert features(t).orderBy("hadm_id", "icustay_id").collect() == want
+def test_a_skewed_key_is_split(spark):
+    """A patient with most of the admissions: the join's final plan splits that partition."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                          "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for key in list(old)[1:]:
+        spark.conf.set(key, "64k")
+    try:
+        admissions = spark.range(60_000, numPartitions=8).select(
+            F.when(F.col("id") % 5 > 0, 1).otherwise(F.col("id")).alias("subject_id"), F.col("id").alias("hadm_id"),
+            F.lit("2020-01-01").cast("timestamp").alias("admittime"), F.md5(F.col("id").cast("string")).alias("diagnosis"))
+        patients = spark.range(60_000).select(F.col("id").alias("subject_id"), F.lit("1950-01-01").cast("timestamp").alias("dob"))
+        stays = admissions.select("subject_id", "hadm_id", F.col("hadm_id").alias("icustay_id"), F.lit(1.0).alias("los"))
+        core = rel.merge_core(admissions, patients, stays)
+        assert core.groupBy("subject_id").count().filter("subject_id = 1").first()["count"] == 48_000
+        core.write.format("noop").mode("overwrite").save()
+        visits = admissions.join(patients, "subject_id")
+        visits.collect()
+        assert "skew=true" in visits._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+def test_upsampling_never_cuts(stages):
+    with pytest.raises(ValueError, match="fewer"):
+        training.clean(stages, rows=100)
 
 
 def test_training_chain(stages, monkeypatch):

@@ -104,16 +104,22 @@ def test_neighbours_equal_brute_force(spark, n, dims, cell_rows, hot):
     assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in got.collect()) == brute(data, 5)
 
 
-def test_hot_keys_take_the_broadcast_way(spark):
-    from cohorta.operators.joins import hot_keys, lookup_join
-    left = spark.range(9000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    right = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    hot = hot_keys(left, ["k"], 1000)
-    assert [r["k"] for r in hot] == [0]
-    right = right.filter("k % 5 != 1")
-    for how in ("inner", "left"):
-        got = lookup_join(left, right, ["k"], hot, how).select("id", "k", "w").orderBy("id").collect()
-        assert got == left.join(right, "k", how).select("id", "k", "w").orderBy("id").collect()
+def test_training_partitions_grow_with_the_rows(spark):
+    from cohorta.operators.modelling import ROWS_PER_TASK, _dealt
+    df = spark.range(10)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert _dealt(df, 100).rdd.getNumPartitions() == 1
+    assert _dealt(df, 40 * ROWS_PER_TASK).rdd.getNumPartitions() == 41
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_smote_refuses_missing_features(spark, bad):
+    data = [(i, int(i >= 10), float(i), 1.0 if i != 3 else bad) for i in range(40)]
+    df = spark.createDataFrame(data, "id long, y int, a double, b double")
+    with pytest.raises(ValueError, match="NULL or NaN"):
+        sampling.smote(df, ["a", "b"], "y", "id")
+    with pytest.raises(ValueError, match="NULL or NaN"):
+        sampling.smote_rows(df, ["a", "b"], "y", "id", 0)
 
 
 @pytest.mark.parametrize("minority", [2, 3, 5, 6, 40])
