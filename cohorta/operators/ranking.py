@@ -143,10 +143,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     counted = (values.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
                .filter(F.col("part").isNotNull())
                .groupBy("c", "part", "v").agg(F.count(F.lit(1)).alias("n")))
-    upto = Window.partitionBy("c").orderBy("part", "v")
     wanted = F.create_map(*[x for i, positions in ranks.items() for x in (F.lit(i), F.array(*[
         F.lit(k) for k in sorted({math.floor(pos) for pos in positions} | {math.ceil(pos) for pos in positions})]))])
-    hits = (counted.withColumn("upto", F.sum("n").over(upto))
+    # Range partitions, not one window per column: no task gets all values of a column.
+    ordered = running_totals(counted.withColumn("o", F.struct("part", "v")), "o", {"n": "upto"}, groups=["c"])
+    hits = (ordered
             .withColumn("k", F.explode(wanted[F.col("c")]))
             .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
             .select("c", "k", "v").collect())

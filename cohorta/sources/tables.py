@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -44,10 +44,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
 
 
 def write_csv(df: DataFrame, path: str) -> int:
-    """Overwrite a CSV folder with header; returns the rows that went into the files."""
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**CSV_TEXT).csv(path)
-    return written.get["rows"]
+    """Overwrite a CSV folder with header; returns the rows found in the written files."""
+    df.write.mode("overwrite").options(**CSV_TEXT).csv(path)
+    return read_csv(df.sparkSession, path, df.schema).count()
 
 
 def read_stage(spark: SparkSession, path: str, fmt: str = STAGE_FORMAT) -> DataFrame:
