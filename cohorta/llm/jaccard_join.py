@@ -9,17 +9,15 @@ whose sizes cannot match are skipped.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohorta.llm.bpe import ragged
-from cohorta.llm.common import text_of, travels
+from cohorta.llm.common import release, text_of, travels
 from cohorta.llm.components import components
 from cohorta.session import materialise
 
@@ -28,40 +26,93 @@ travels(__name__)
 PERCENT = 80  # least similarity
 WORDS = 5
 GROUP_MEMBERS = 4096  # sets that meet in one task
-FREQUENT = 500_000  # an n-gram with at least this share (1 / FREQUENT) of all occurrences is frequent
-LEAST_FREQUENT = 64
+FREQUENT = 2_000_000  # an n-gram with at least this share (1 / FREQUENT) of all occurrences is frequent
+LEAST_FREQUENT = 32
 CHUNK = 2048  # documents whose n-grams travel together
 BUCKET_TOKENS = 2_000_000  # prefix n-grams that meet in one task
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+BLOCK_BYTES = 1_000_000  # texts hashed together
+
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+# Bytes as numbers above 0, A-Z as a-z.
+_LOWERED = np.array([b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
+_KEPT: dict = {}  # made once per task
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                      0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
-    """For each text the sorted different 64-bit hashes of its n-grams."""
-    lists = [_WORD.findall(t.translate(_LOWER) if not t.isascii() else t.lower()) for t in texts]
-    found = pa.array([w for x in lists for w in x], pa.string()).dictionary_encode()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) for w in found.dictionary.to_pylist()),
-                         np.uint64, len(found.dictionary))
-    flat = hashes[found.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.uint64)
-    ends = np.cumsum([len(x) for x in lists], dtype=np.int64)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _FACTORS[1]
+    x = (x ^ (x >> np.uint64(29))) * _FACTORS[2]
+    return x ^ (x >> np.uint64(32))
+
+
+def _blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > BLOCK_BYTES:
+            yield texts[start:i]
+            start, size = i, 0
+        size += len(text)
+    yield texts[start:]
+
+
+def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """For each UTF-8 text the sorted different 64-bit hashes of its n-grams.
+
+    All words of a block are hashed at once: a word's hash is the sum of its bytes times powers of
+    an odd number, moved to power 0 by the inverse, and mixed.
+    """
+    out: list[np.ndarray] = []
+    for block in _blocks(texts):
+        out += _block_sets(block, words)
+    return out
+
+
+def _block_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    inside = np.concatenate(([False], ~_SPACE[data]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    powers, inverses = _powers(len(data))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_LOWERED[data] * powers[:len(data)])))
+    hashes = _mixed((sums[stops] - sums[starts]) * inverses[starts] + (stops - starts).astype(np.uint64))
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0)
+    first = np.cumsum(counts) - counts
+    # n-grams of all windows of words; those that would cross texts are left out below.
+    windows = max(len(hashes) - words + 1, 0)
+    grams = np.full(windows, words, np.uint64)
+    for k in range(words):
+        grams = (grams ^ (grams >> np.uint64(29))) * _FACTORS[k % len(_FACTORS)] + hashes[k:windows + k]
+    grams = _mixed(grams)
     out = []
-    for end, x in zip(ends.tolist(), lists):
-        h = flat[end - len(x):end]
-        n = min(len(h), words)
-        if not n:
+    for a, n in zip(first.tolist(), counts.tolist()):
+        if n >= words:
+            out.append(np.unique(grams[a:a + n - words + 1]))
+        elif n:
+            short = np.full(1, n, np.uint64)
+            for k in range(n):
+                short = (short ^ (short >> np.uint64(29))) * _FACTORS[k % len(_FACTORS)] + hashes[a + k:a + k + 1]
+            out.append(_mixed(short))
+        else:
             out.append(np.zeros(0, np.uint64))
-            continue
-        mixed = np.full(len(h) - n + 1, n, np.uint64)
-        for k in range(n):
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * _FACTORS[k % len(_FACTORS)] + h[k:len(h) - n + 1 + k]
-        mixed = (mixed ^ (mixed >> np.uint64(31))) * _FACTORS[1]
-        out.append(np.unique(mixed ^ (mixed >> np.uint64(30))))
     return out
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2 ** 64, at least n of each."""
+    if len(_KEPT.get("powers", ((), ()))[0]) < n:
+        size = max(n, BLOCK_BYTES * 5 // 4)
+        made = []
+        for base in (int(_FACTORS[0]), pow(int(_FACTORS[0]), -1, 2**64)):
+            powers = np.full(size, base, np.uint64)
+            powers[0] = 1
+            made.append(np.cumprod(powers))
+        _KEPT["powers"] = tuple(made)
+    return _KEPT["powers"]
+
+
 def _least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     """n-grams that a set of n must share with any similar one."""
     return -(-n * percent // 100)
@@ -162,8 +213,17 @@ def _sets_of(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b, np.uint64) for b in column.to_pylist()]
 
 
-def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits of a hash of the whole set; null for an empty set)."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("text"))
+
+
+def _first_pass(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Two kinds of rows in one reading of the texts.
+
+    With ``n_shingles``: doc_id, n_shingles and set_key (128 bits of a hash of the whole set; null
+    for an empty one). Without: an n-gram (in doc_id) and in how many texts of a chunk it is, for
+    those in two or more.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, CHUNK):
@@ -171,39 +231,41 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 sets = shingle_sets(part.column(1).to_pylist(), words)
                 keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_key"])
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                     pa.nulls(len(sets), pa.int64())], names=["doc_id", "n_shingles", "set_key", "n"])
+                found, n = np.unique(np.concatenate(sets), return_counts=True)
+                found, n = found[n > 1].view(np.int64), n[n > 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary()), pa.array(n)],
+                    names=["doc_id", "n_shingles", "set_key", "n"])
 
-    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, n_shingles long, set_key binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, n long")
 
 
-def frequent_shingles(docs: DataFrame, occurrences: int, text_col: str, words: int) -> np.ndarray:
+def frequent_shingles(chunks: DataFrame, occurrences: int) -> np.ndarray:
     """Sorted n-grams found in so many texts that at most ``FREQUENT`` can be.
 
     Counted over all texts; what occurs once in a chunk of texts is not counted there. The order
     that follows from the list need only be the same for all texts.
     """
     least = max(LEAST_FREQUENT, -(-occurrences // FREQUENT))
+    counted = chunks.groupBy("doc_id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("doc_id")
+    return np.sort(np.array([r[0] for r in counted.collect()], np.int64).view(np.uint64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, CHUNK):
-                sets = shingle_sets(batch.column(0).slice(i, CHUNK).to_pylist(), words)
-                found, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1].astype(np.int64))], names=["s", "n"])
 
-    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(run, "s long, n long").groupBy("s").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= least).select("s")
-    return np.sort(np.array([r[0] for r in counted.collect()], np.int64).view(np.uint64))
+def _is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(tokens), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
 
 
 def _prefix_blobs(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, frequent: np.ndarray,
                   buckets: int) -> DataFrame:
-    """bucket, tokens, ids: the prefixes of all texts, one row per chunk and bucket of n-grams.
+    """The prefixes of all texts, one row per chunk and bucket of n-grams.
 
-    Of equal sets in a chunk only the one of the smallest id is sent.
+    ``documents`` has the chunk's ids and set sizes once, ``owner`` points into it. A frequent
+    n-gram's documents are dealt over all buckets. Of equal sets in a chunk only the one of the
+    smallest id is sent.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -221,31 +283,108 @@ def _prefix_blobs(docs: DataFrame, id_col: str, text_col: str, words: int, perce
                     continue
                 starts = [in_order(s, shared.value)[:prefix_length(np.int64(len(s)), percent)] for _, s in chosen]
                 tokens = np.concatenate(starts)
-                owner = np.repeat(np.array([d for d, _ in chosen], np.int64), [len(s) for s in starts])
-                bucket = ((tokens >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+                owner = np.repeat(np.arange(len(chosen), dtype=np.uint16), [len(s) for s in starts])
+                documents = np.array([(d, len(s)) for d, s in chosen], np.int64)
+                spread = _mixed(documents[:, 0].view(np.uint64))[owner] * _is_frequent(tokens, shared.value)
+                bucket = (((tokens >> np.uint64(20)) + (spread >> np.uint64(20))) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 tokens, owner, bucket = tokens[order], owner[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
+                numbers = bucket[np.concatenate(([0], cuts))]
+                rows = []
+                for t, o in zip(np.split(tokens, cuts), np.split(owner, cuts)):
+                    used, o = np.unique(o, return_inverse=True)
+                    rows.append((t.tobytes(), o.astype("<u2").tobytes(), documents[used].tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[np.concatenate(([0], cuts))]), pa.array([x.tobytes() for x in np.split(tokens, cuts)]),
-                     pa.array([x.tobytes() for x in np.split(owner, cuts)])], names=["bucket", "tokens", "ids"])
+                    [pa.array(numbers), *[pa.array(c, pa.binary()) for c in zip(*rows)]],
+                    names=["bucket", "tokens", "owner", "documents"])
 
-    picked = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return picked.mapInArrow(run, "bucket long, tokens binary, ids binary")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "bucket long, tokens binary, owner binary, documents binary")
 
 
-def _shared_lists(blobs: DataFrame) -> DataFrame:
-    """token, doc_id for all prefix n-grams of two documents or more."""
+def _linked(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Of entries sorted by n-gram and set size: whether one may be similar to the one before it.
+
+    Runs of such entries are the blocks of a list: members of different blocks differ too much in
+    size, whatever lies between them.
+    """
+    out = np.zeros(len(tokens), bool)
+    out[1:] = (tokens[1:] == tokens[:-1]) & (100 * sizes[:-1] >= percent * sizes[1:])
+    return out
+
+
+def _shared_lists(blobs: DataFrame, percent: int, frequent: np.ndarray) -> DataFrame:
+    """token, doc_id, size for all prefix n-grams of two documents of like sizes, and frequent ones."""
+    shared = blobs.sparkSession.sparkContext.broadcast(frequent)
+
     def run(table: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint64)
-        ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int64)
-        order = np.argsort(tokens, kind="stable")
-        tokens, ids = tokens[order], ids[order]
-        same = tokens[1:] == tokens[:-1]
-        several = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        return pa.table({"token": pa.array(tokens[several].view(np.int64)), "doc_id": pa.array(ids[several])})
+        tokens, ids, sizes = [], [], []
+        for t, o, d in zip(*[table.column(c).to_pylist() for c in ("tokens", "owner", "documents")]):
+            documents, owner = np.frombuffer(d, np.int64).reshape(-1, 2), np.frombuffer(o, "<u2")
+            tokens.append(np.frombuffer(t, np.uint64))
+            ids.append(documents[owner, 0])
+            sizes.append(documents[owner, 1])
+        tokens, ids, sizes = np.concatenate(tokens), np.concatenate(ids), np.concatenate(sizes)
+        order = np.lexsort((sizes, tokens))
+        tokens, ids, sizes = tokens[order], ids[order], sizes[order]
+        linked = _linked(tokens, sizes, percent)
+        several = linked | np.append(linked[1:], False) | _is_frequent(tokens, shared.value)
+        return pa.table({"token": pa.array(tokens[several].view(np.int64)), "doc_id": pa.array(ids[several]),
+                         "size": pa.array(sizes[several])})
+
+    return blobs.groupBy("bucket").applyInArrow(run, "token long, doc_id long, size long")
+
+
+def _group_edges(lists: DataFrame, percent: int, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """Edges that tie the members of every block of every list together.
+
+    The lists of frequent n-grams are dealt over all buckets; there each part's blocks are tied,
+    then the blocks of all parts by their sizes.
+    """
+    shared = lists.sparkSession.sparkContext.broadcast(frequent)
 
-    return blobs.groupBy("bucket").applyInArrow(run, "token long, doc_id long")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column(0).to_numpy().view(np.uint64)
+            often = _is_frequent(tokens, shared.value)
+            spread = _mixed(batch.column(1).to_numpy().view(np.uint64)) * often
+            bucket = (((tokens >> np.uint64(20)) + (spread >> np.uint64(20))) % np.uint64(buckets)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(often), pa.array(bucket)],
+                                             names=["token", "doc_id", "size", "often", "bucket"])
+
+    def tie(table: pa.Table) -> pa.Table:
+        tokens, ids, sizes, often = (table.column(c).to_numpy() for c in ("token", "doc_id", "size", "often"))
+        order = np.lexsort((ids, sizes, tokens))
+        tokens, ids, sizes, often = tokens[order], ids[order], sizes[order], often[order]
+        first = np.flatnonzero(~_linked(tokens, sizes, percent))
+        last = np.append(first[1:], len(tokens)) - 1
+        centre = np.repeat(ids[first], np.diff(np.append(first, len(tokens))))
+        pairs = np.unique(np.stack((ids, centre), axis=1)[ids != centre], axis=0)
+        first, last = first[often[first]], last[often[first]]
+        return pa.table({"a": pa.array(np.concatenate((pairs[:, 0], ids[first]))),
+                         "b": pa.array(np.concatenate((pairs[:, 1], ids[first]))),
+                         "token": pa.array([None] * len(pairs) + tokens[first].tolist(), pa.int64()),
+                         "low": pa.array([None] * len(pairs) + sizes[first].tolist(), pa.int64()),
+                         "high": pa.array([None] * len(pairs) + sizes[last].tolist(), pa.int64())})
+
+    def tie_blocks(table: pa.Table) -> pa.Table:
+        tokens, ids, low, high = (table.column(c).to_numpy() for c in ("token", "a", "low", "high"))
+        order = np.lexsort((high, low, tokens))
+        tokens, ids, low, high = tokens[order], ids[order], low[order], high[order]
+        same = np.concatenate(([False], tokens[1:] == tokens[:-1]))
+        run = np.cumsum(~same)
+        reach = np.maximum.accumulate(run * (int(high.max()) + 1) + high) - run * (int(high.max()) + 1)
+        near = same.copy()
+        near[1:] &= 100 * reach[:-1] >= percent * low[1:]
+        at = np.flatnonzero(near)
+        pairs = np.unique(np.stack((ids[at], ids[at - 1]), axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    placed = lists.mapInArrow(place, "token long, doc_id long, size long, often boolean, bucket long")
+    tied = materialise(placed.groupBy("bucket").applyInArrow(tie, "a long, b long, token long, low long, high long"))
+    blocks = tied.filter("token is not null").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    across = blocks.groupBy("bucket").applyInArrow(tie_blocks, "a long, b long")
+    return tied.filter("token is null").select("a", "b").unionByName(across)
 
 
 def _with_sets(rows: DataFrame, keep: list[str], words: int) -> DataFrame:
@@ -330,24 +469,29 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long enough for every similar pair, and groups of any size are resolved in parts of bounded size.
     """
     known = docs.filter(docs[id_col].isNotNull())
-    table = materialise(document_sets(docs, id_col, text_col, words))
+    read = materialise(_first_pass(docs, id_col, text_col, words))
+    table = read.filter("n_shingles is not null").drop("n")
     total = table.agg(F.sum("n_shingles")).first()[0] or 0
-    frequent = frequent_shingles(known, total, text_col, words)
+    frequent = frequent_shingles(read.filter("n is not null"), total)
     buckets = max(-(-total // (3 * BUCKET_TOKENS)), 16)
-    lists = materialise(_shared_lists(_prefix_blobs(known, id_col, text_col, words, percent, frequent, buckets)))
+    blobs = _prefix_blobs(known, id_col, text_col, words, percent, frequent, buckets)
+    lists = materialise(_shared_lists(blobs, percent, frequent))
 
     # A similar pair shares as many prefix n-grams as the smaller of the two prefixes is longer than needed.
-    partner = F.ceil(F.col("n_shingles") * percent / 100)
+    partner = F.ceil(F.col("size") * percent / 100)
     needed = F.greatest(F.floor(partner * 15 / 100), F.lit(1))
-    possible = (lists.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).join(table, "doc_id")
-                .filter(F.col("n") >= needed).select("doc_id").distinct())
-    left = materialise(lists.join(possible, "doc_id"))
-    centre = left.groupBy("token").agg(F.min("doc_id").alias("b"))
-    groups = materialise(components(left.join(centre, "token").select(F.col("doc_id").alias("a"), "b")))
+    possible = (lists.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col("n") >= needed).select("doc_id", "size"))
+    left = materialise(lists.join(possible, ["doc_id", "size"]).select("token", "doc_id", "size"))
+    release(docs.sparkSession)
+    groups = materialise(components(_group_edges(left, percent, frequent, buckets)))
     sizes = groups.groupBy(F.col("component").alias("part")).agg(F.count(F.lit(1)).alias("size"))
     members = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("part")).join(sizes, "part")
-    texts = known.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    members = materialise(members)
+    release(docs.sparkSession)
+    texts = _texts(known, id_col, text_col)
     sets = materialise(_with_sets(texts.join(members, "doc_id"), ["part", "doc_id", "size"], words))
+    release(docs.sparkSession)
     edges = _edges(sets, percent, most)
     classes = components(edges).select(F.col("node").alias("rep"), "component")
 

@@ -14,7 +14,24 @@ def neighbours(spark, folder):
     return cross_polytope.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-@query("op10_set_relations")
+@query("op10_set_relations", sql="""
+with recursive lists as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g from lists),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as o
+  from sets a join sets b on a.g = b.g and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select x, y from pairs join sizes sx on sx.doc_id = x join sizes sy on sy.doc_id = y
+  where 100 * o >= 80 * (sx.n + sy.n - o)),
+reached as (select x, y from links union select r.x, l.y from reached r join links l on r.y = l.x),
+least_reached as (select x, min(y) as y from reached group by x)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) as component_id
+from documents d left join sizes s on s.doc_id = d.doc_id left join least_reached r on r.x = d.doc_id""")
 def similar_documents(spark, folder):
     return jaccard_join.similar_classes(table(spark, folder, "documents"))
 

@@ -100,6 +100,13 @@ def test_similar_classes_equal_brute_force(spark, sf_dir, most):
     assert len(got) == len(rows) and {tuple(r) for r in got} == brute_classes(rows)
 
 
+@pytest.mark.parametrize("least", [2, 5])
+def test_lists_of_frequent_shingles_are_dealt_out(spark, sf_dir, monkeypatch, least):
+    monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", least)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    assert {tuple(r) for r in jaccard_join.similar_classes(docs).collect()} == brute_classes([tuple(r) for r in docs.collect()])
+
+
 def test_chains_of_near_copies_in_small_blocks(spark):
     rng = random.Random(2)
     rows, words = [], [f"w{i}" for i in range(120)]
