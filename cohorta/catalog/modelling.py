@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cohorta.catalog.registry import query, rounded
@@ -100,3 +101,16 @@ def baseline_bakeoff(t):
     train, test = sampling.split_train_test(labelled(t), 0.2, ["doc_id"])
     scored = ml.score_models(ml.fit_baselines(train, "features", "label"), test, "label")
     return rounded(ev.compare_models(materialise(scored), score="probability"))
+
+
+@query("logreg_saturated", """
+    select l_linenumber, round(avg(case when l_returnflag = 'R' then 1e0 else 0e0 end), 3) as probability
+    from lineitem group by l_linenumber""")
+def logreg_saturated(t):
+    """One indicator per line number: the fitted probabilities are the groups' shares."""
+    lines = [F.col("l_linenumber") == k for k in range(1, 7)]
+    df = t.lineitem.select("l_linenumber", (F.col("l_returnflag") == "R").cast("double").alias("y"),
+                           array_to_vector(F.array(*[x.cast("double") for x in lines])).alias("features"))
+    model = ml.fit_plain_logistic(df, "features", "y")
+    fitted = model.transform(df.select("l_linenumber", "features").dropDuplicates(["l_linenumber"]))
+    return fitted.select("l_linenumber", F.round(vector_to_array("probability")[1], 3).alias("probability"))
