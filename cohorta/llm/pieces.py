@@ -28,7 +28,7 @@ BYTE_PATTERN = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 MARK = "\x00 "  # starts what stands for a special string; no piece starts so
-CHUNK_BYTES = 8_000_000  # texts cut together
+CHUNK_BYTES = 4_000_000  # texts cut together
 
 # The same on plain texts, for the faster module: letters and numbers of the first 256 characters.
 _L, _N = "a-zA-Zªµº\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9²³¹¼-¾"
