@@ -495,7 +495,9 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = _edges(sets, percent, most)
     classes = components(edges).select(F.col("node").alias("rep"), "component")
 
-    reps = table.filter("doc_id is not null and set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    # Written first, so that the join by itself can be split where very many sets are equal.
+    reps = materialise(table.filter("doc_id is not null and set_key is not null")
+                       .groupBy("set_key").agg(F.min("doc_id").alias("rep")))
     found = (table.join(reps, "set_key", "left").join(classes, "rep", "left")
              .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
     return found
