@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULTS = {
     # Split a skewed join partition even if that costs one more shuffle later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows with whole texts: smaller batches between the JVM and Python keep both sides small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
 }
 
 
