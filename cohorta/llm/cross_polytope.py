@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing with multiprobe tables.
 
 Unit vectors are turned by fast pseudo-random rotations (signs and Hadamard transforms) and belong
-to the nearest signed axis. A query looks into the buckets of its best axes in every table; what it
-finds there is ranked by the exact inner product.
+to the nearest signed axis. Vectors are indexed by bands of like norm, so a long one does not change
+where the others are found. A query looks into the buckets of its best axes in every band and table;
+what it finds there is ranked by the exact inner product. Queries that find too few rows go through
+all vectors.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ travels(__name__)
 
 TABLES = 10
 REACH, GROWTH = 0.6, 0.75  # a query meets about REACH * n ** GROWTH vectors per table
-BUCKET_ROWS = 8192  # vectors of a bucket that are searched in one task
+BUCKET_ROWS = 8192  # vectors of a bucket, and queries, that are searched in one task
+WHOLE_ROWS = 256  # smaller bands are searched whole, all together
+WHOLE = 10_000  # the number of that band; octaves of doubles are within +-2200
 
 
 @dataclass
@@ -97,10 +101,11 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(np.float64)
 
 
-def _padded(x: np.ndarray, hashing: Hashing, last: np.ndarray) -> np.ndarray:
+def _directions(x: np.ndarray, hashing: Hashing) -> np.ndarray:
+    """Unit vectors, padded. Scaled by the largest component first: squares neither overflow nor vanish."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     out = np.zeros((len(x), hashing.width))
-    out[:, :hashing.dim] = x
-    out[:, hashing.dim] = last
+    out[:, :hashing.dim] = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
     return out
 
 
@@ -117,7 +122,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     ``usable``) and null ids take no part; vectors of different lengths never meet, each length has
     an index of its own. Equal vectors are one entry of the index with their k + 1 smallest ids, so
     large groups of copies cost one search; ties go to the smaller id. A repeated id counts once
-    per different vector. An empty table gives no rows.
+    per different vector. A query whose buckets hold fewer than ``k`` others is answered from all
+    vectors. An empty table gives no rows.
     """
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"),
                           vectors[vector_col].cast("array<double>").alias("v"))
@@ -138,49 +144,65 @@ def _nearest_of(rows: DataFrame, dim: int, k: int, tables: int) -> DataFrame:
     members = (rows.select("v", "vec_id").withColumn("n", F.row_number().over(smallest)).filter(F.col("n") <= k + 1)
                .groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("members")))
     asked = rows.filter("asks").select("v").distinct().withColumn("asked", F.lit(True))
-    entries = materialise(members.join(asked, "v", "left").select(
+    scaled = members.join(asked, "v", "left").withColumn("most", F.array_max(F.transform("v", lambda x: F.abs(x))))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x / F.col("most") * (x / F.col("most"))))
+    entries = materialise(scaled.select(
         F.element_at("members", 1).alias("entry"), "v", "members", F.coalesce("asked", F.lit(False)).alias("asked"),
-        F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")))
-    n, largest = entries.agg(F.count(F.lit(1)), F.max("norm")).first()
-    hashing = Hashing(dim, n, tables)
+        F.round(F.log2("most") + F.log2(norm)).cast("int").alias("band")))
+    # Octaves around the powers of two.
+    rows_of = {r["band"]: r["n"] for r in entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_asked, reachable = entries.agg(F.count_if("asked"), F.sum(F.size("members"))).first()
+    hashings = {band: Hashing(dim, n, tables) for band, n in sorted(rows_of.items()) if n > WHOLE_ROWS}
+    others = sum(rows_of.values()) - sum(h.rows for h in hashings.values())
+    # Queries that meet in a bucket: what is expected of a band's buckets.
+    slices = {band: -(-n_asked * h.probes // (h.buckets * BUCKET_ROWS)) for band, h in hashings.items()}
+    slices[WHOLE] = -(-n_asked // BUCKET_ROWS)
+    plain = Hashing(dim, 1)
     keep = k + 1
 
+    def placed(band: int, t: int, bucket: np.ndarray, rows: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(bucket), band, np.int32)), pa.array(np.full(len(bucket), t, np.int32)),
+             pa.array(bucket), pa.array(np.full(len(bucket), max(slices[band], 1), np.int32)), rows.column(0),
+             rows.column(1)], names=["band", "t", "bucket", "slices", "entry", "v"])
+
     def index(batches):
         for batch in batches:
-            x = _matrix(batch.column(1), dim) / largest
-            last = np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))
-            x = _padded(x, hashing, last)
-            for t in range(hashing.tables):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t, np.int32)), pa.array(hashing.bucket(x, t)), batch.column(0),
-                     batch.column(1)], names=["t", "bucket", "entry", "v"])
+            bands = batch.column(2).to_numpy()
+            for band in np.unique(bands).tolist():
+                some = batch.take(pa.array(np.flatnonzero(bands == band)))
+                if band not in hashings:
+                    yield placed(WHOLE, 0, np.zeros(len(some), np.int64), some)
+                    continue
+                x = _directions(_matrix(some.column(1), dim), plain)
+                for t in range(tables):
+                    yield placed(band, t, hashings[band].bucket(x, t), some)
 
     def probe(batches):
         for batch in batches:
-            x = _matrix(batch.column(1), dim)
-            x = _padded(x / np.sqrt((x * x).sum(axis=1, keepdims=True)), hashing, np.zeros(len(x)))
-            for t in range(hashing.tables):
-                numbers = hashing.probed(x, t)
-                many = pa.array(np.repeat(np.arange(len(x)), numbers.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(numbers.size, t, np.int32)), pa.array(numbers.ravel()),
-                     batch.column(0).take(many), batch.column(1).take(many)], names=["t", "bucket", "entry", "v"])
-
-    shape = "t int, bucket long, entry long, v array<double>"
-    hashed = entries.select("entry", "v").mapInArrow(index, shape)
+            if others:
+                yield placed(WHOLE, 0, np.zeros(len(batch), np.int64), batch)
+            x = _directions(_matrix(batch.column(1), dim), plain)
+            for band, hashing in hashings.items():
+                for t in range(tables):
+                    numbers = hashing.probed(x, t)
+                    many = pa.array(np.repeat(np.arange(len(x)), numbers.shape[1]))
+                    yield placed(band, t, numbers.ravel(), batch.take(many))
+
+    shape = "band int, t int, bucket long, slices int, entry long, v array<double>"
+    place = ["band", "t", "bucket"]
+    hashed = entries.select("entry", "v", "band").mapInArrow(index, shape)
     probed = entries.filter("asked").select("entry", "v").mapInArrow(probe, shape)
-    # Large buckets are searched in parts; a query goes to every part of its buckets.
-    parts = (hashed.groupBy("t", "bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("parts")))
-    hashed = hashed.join(parts, ["t", "bucket"]).withColumn("part", F.pmod(F.xxhash64("entry"), "parts").cast("int"))
-    probed = probed.join(parts, ["t", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    hashed, probed = hashed.drop("parts"), probed.drop("parts").toDF("at_t", "at_bucket", "entry", "v", "at_part")
+    # Large buckets are searched in parts; a query goes to every part of its buckets. Vectors go to every slice of queries.
+    parts = hashed.groupBy(place).agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("parts"))
+    hashed, probed = hashed.join(parts, place), probed.join(parts, place)
 
     def search(ask: pa.Table, there: pa.Table) -> pa.Table:
-        entry = ask.column("entry")
+        entry = ask.column("asking")
         if not len(ask) or not len(there):
             return pa.table({"entry": entry.slice(0, 0), "found": pa.array([], pa.list_(pa.int64())),
                              "scores": pa.array([], pa.list_(pa.float64()))})
-        q, v = _matrix(ask.column("v").combine_chunks(), dim), _matrix(there.column("v").combine_chunks(), dim)
+        q, v = _matrix(ask.column("q").combine_chunks(), dim), _matrix(there.column("v").combine_chunks(), dim)
         ids = there.column("entry").to_numpy()
         most = min(keep, len(ids))
         out_ids, out_scores = [], []
@@ -193,8 +215,17 @@ def _nearest_of(rows: DataFrame, dim: int, k: int, tables: int) -> DataFrame:
         return pa.table({"entry": entry, "found": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out_ids))),
                          "scores": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out_scores)))})
 
-    answers = probed.groupBy("at_t", "at_bucket", "at_part").cogroup(hashed.groupBy("t", "bucket", "part")).applyInArrow(
-        search, "entry long, found array<long>, scores array<double>")
+    def answers(ask: DataFrame, there: DataFrame) -> DataFrame:
+        """Both have parts, slices, entry, v and the columns of ``place``."""
+        part, piece = (F.pmod(F.xxhash64("entry", F.lit(i)), c).cast("int") for i, c in enumerate(("parts", "slices")))
+        all_parts, all_slices = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("parts", "slices"))
+        ask = ask.withColumn("slice", piece).withColumn("part", all_parts)
+        there = there.withColumn("part", part).withColumn("slice", all_slices)
+        at = [*place, "part", "slice"]
+        # The two sides may come from one table: other names keep their columns apart.
+        ask = ask.select(*at, "entry", "v").toDF(*[f"at_{c}" for c in at], "asking", "q")
+        return ask.groupBy([f"at_{c}" for c in at]).cogroup(there.select(*at, "entry", "v").groupBy(at)).applyInArrow(
+            search, "entry long, found array<long>, scores array<double>")
 
     def merge(found: pa.Table) -> pa.Table:
         ids = found.column("found").combine_chunks().flatten().to_numpy()
@@ -205,12 +236,24 @@ def _nearest_of(rows: DataFrame, dim: int, k: int, tables: int) -> DataFrame:
         return pa.table({"entry": pa.array(np.full(len(best), found.column("entry")[0].as_py())),
                          "other": pa.array(ids[best]), "score": pa.array(scores[best])})
 
-    merged = answers.groupBy("entry").applyInArrow(merge, "entry long, other long, score double")
     best = Window.partitionBy("entry").orderBy(F.desc("score"), "vec_id")
-    lists = (merged.join(entries.select(F.col("entry").alias("other"), "members"), "other")
-             .select("entry", "score", F.explode("members").alias("vec_id"))
-             .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= keep)
-             .groupBy("entry").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best")))
+
+    def ranked_lists(found: DataFrame) -> DataFrame:
+        merged = found.groupBy("entry").applyInArrow(merge, "entry long, other long, score double")
+        return (merged.join(entries.select(F.col("entry").alias("other"), "members"), "other")
+                .select("entry", "score", F.explode("members").alias("vec_id"))
+                .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= keep)
+                .groupBy("entry").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best")))
+
+    lists = materialise(ranked_lists(answers(probed, hashed)))
+    full = lists.filter(F.size("best") >= min(keep, reachable or 0))
+    short = materialise(entries.filter("asked").select("entry", "v").join(full, "entry", "left_anti"))
+    n_short = short.count()
+    if n_short:
+        # Too few rows in the buckets: all vectors, in blocks.
+        blocks, pieces = -(-sum(rows_of.values()) // BUCKET_ROWS), -(-n_short // BUCKET_ROWS)
+        everywhere = [*[F.lit(0).alias(c) for c in place], F.lit(blocks).alias("parts"), F.lit(pieces).alias("slices")]
+        lists = full.unionByName(ranked_lists(answers(short.select("*", *everywhere), entries.select("entry", "v", *everywhere))))
     lists = entries.filter("asked").select("entry", "v").join(lists, "entry").select("v", "best")
     asking = rows.filter("asks").select(F.col("vec_id").alias("query_id"), "v").distinct()
     ranked = asking.join(lists, "v").select("query_id", F.posexplode(F.slice(F.filter(

@@ -68,6 +68,40 @@ def test_large_buckets_are_searched_in_parts(spark, monkeypatch):
     assert sorted(tuple(r) for r in cross_polytope.nearest(df, F.col("vec_id") % 20 == 0).collect()) == want
 
 
+def spread_norms(case, n=3000, dim=64):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if case == "long":
+        x[7] *= 100
+    elif case == "lognormal":
+        x *= rng.lognormal(0, 1, (n, 1))
+    elif case == "opposite":  # on two opposite rays, where no probe of a query reaches the other one
+        x = np.outer(np.where(np.arange(n) < 5, 1, -1) * rng.uniform(1, 1.1, n), x[0])
+    elif case == "extreme":
+        x[:50] *= 1e150
+        x[50:100] *= 1e-150
+    return x
+
+
+@pytest.mark.parametrize("case", ["long", "lognormal", "opposite", "extreme"])
+def test_neighbours_when_norms_differ(spark, case):
+    x = spread_norms(case)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asks = list(range(0, len(x), 60))
+    by = {}
+    for r in cross_polytope.nearest(df, F.col("vec_id") % 60 == 0, k=20).collect():
+        by.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in asks:
+        scores = (x * x[q]).sum(axis=1)
+        scores[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -scores))[:20]
+        assert len(by[q]) == 20
+        hits += len(by[q] & set(best.tolist()))
+    assert hits / (20 * len(asks)) >= 0.9
+
+
 def brute_classes(rows):
     sets = []
     for _, text in rows:
