@@ -8,7 +8,9 @@ a piece therefore gives the counts of all of them, and budgets or truncations ne
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import islice
 
@@ -26,6 +28,9 @@ travels(__name__)
 LATEST = np.int64(2**40)
 BLOCK_BYTES = 400_000  # pieces whose tokens are held at once
 
+_LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
+_KEPT: dict = {}  # made once per task
+
 # White space as the tokenizer's pattern sees it.
 _WORD = re.compile("[^\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -38,6 +43,7 @@ class PrefixCounter:
         made_by = np.full(max(bpe.vocab.values()) + 1, -1, np.int64)  # the merge that makes a token
         made_by[bpe.made[::-1]] = np.arange(len(bpe.made))[::-1]
         self.made_by = made_by
+        self.longest = max(map(len, bpe.vocab))  # letters of a token, at least
         self._build_trie()
 
     def _build_trie(self) -> None:
@@ -200,35 +206,132 @@ def piece_tables(counter: PrefixCounter, entries: pa.StringArray) -> tuple[Rows,
     return Rows(counts[ends], np.bincount(owner[ends], minlength=len(lengths))), totals
 
 
-def text_prefixes(counter: PrefixCounter, text: str) -> np.ndarray:
+def _followers() -> set[str]:
+    """Characters that may compose with what stands before them, apart from combining marks."""
+    if "followers" not in _KEPT:
+        found = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+        for c in range(sys.maxunicode + 1):
+            parts = unicodedata.decomposition(chr(c)).split()
+            if len(parts) == 2 and parts[0][0] != "<":
+                found.add(chr(int(parts[1], 16)))
+        _KEPT["followers"] = found
+    return _KEPT["followers"]
+
+
+def _stands_alone(c: str) -> bool:
+    """Whether NFC never joins or reorders a character with those before it."""
+    if c.isascii():
+        return True
+    first = unicodedata.normalize("NFD", c)[0]
+    return unicodedata.combining(first) == 0 and first not in _followers()
+
+
+class _Cut:
+    """A string without special strings, cut once. ``counts`` tells the tokens of all its prefixes.
+
+    Pieces never change with what follows them, but for two cases: the letters of a contraction
+    that is not whole yet, and letters that compose with the next ones. The latter are cut again
+    from the last piece that does not touch them.
+    """
+
+    def __init__(self, text: str):
+        self.known: list[tuple[int, int]] | None = None  # prefix, its length in lower case; none: the same
+        self.again: list[tuple[int, int, str]] = []  # prefix, pieces that stay, text from there on
+        if text.isascii() or unicodedata.is_normalized("NFC", text) and all(len(lowered(c)) == 1 for c in text):
+            self._cut(lowered(text))
+            return
+        starts = [i for i, c in enumerate(text) if not i or _stands_alone(c)]
+        clusters = [lowered(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])]
+        whole = "".join(clusters)
+        self._cut(whole)
+        self.known = []
+        stops = [b for _, b in self.spans]
+        at = 0
+        for a, b, cluster in zip(starts, [*starts[1:], len(text)], clusters):
+            for i in range(a + 1, b):
+                part = lowered(text[a:i])
+                if cluster.startswith(part):
+                    self.known.append((i, at + len(part)))
+                else:
+                    k = bisect_right(stops, at - 2)  # a piece is settled two letters after its end
+                    self.again.append((i, k, whole[stops[k - 1] if k else 0:at] + part))
+            at += len(cluster)
+            self.known.append((b, at))
+
+    def _cut(self, whole: str) -> None:
+        self.spans = [m.span() for m in WORDS.pattern.finditer(whole)]
+        self.pieces = [whole[a:b] for a, b in self.spans]
+        self.length = len(whole)
+
+    def counts(self, entries: dict[str, int], rows: Rows, totals: np.ndarray, counter: PrefixCounter,
+               budget: int | None) -> np.ndarray:
+        """Tokens of the prefixes from the empty one on; above ``budget`` any number above it."""
+        numbers = np.array([entries[p] for p in self.pieces], np.int64)
+        upto = np.concatenate(([0], np.cumsum(totals[numbers])))
+        table = upto[np.searchsorted([b for _, b in self.spans], np.arange(self.length + 1), "right")]
+        for (a, b), piece, number, base in zip(self.spans, self.pieces, numbers.tolist(), upto.tolist()):
+            table[a + 1:b + 1] = rows.flat[rows.starts[number]:rows.starts[number] + rows.lengths[number]] + base
+            if piece in _LONG_CONTRACTIONS:
+                table[a + 2] = base + totals[entries["'"]] + totals[entries[piece[1]]]
+        if self.known is None:
+            return table
+        out = np.zeros(self.known[-1][0] + 1, np.int64)
+        for i, n in self.known:
+            out[i] = table[n]
+        waiting: list[tuple[int, int, list[str]]] = []
+        size = 0
+        for n, (i, k, rest) in enumerate(self.again):
+            # No token is longer than the longest of the vocabulary.
+            if budget is not None and upto[k] + len(rest) // counter.longest > budget:
+                out[i] = budget + 1
+            else:
+                waiting.append((i, int(upto[k]), WORDS.pattern.findall(rest)))
+                size += len(rest)
+            if waiting and (size >= BLOCK_BYTES or n == len(self.again) - 1):  # some at a time
+                some = {p: j for j, p in enumerate(dict.fromkeys(p for *_, cut in waiting for p in cut))}
+                sums = piece_tables(counter, pa.array(list(some), pa.string()))[1]
+                for j, base, cut in waiting:
+                    out[j] = base + sum(int(sums[some[p]]) for p in cut)
+                waiting, size = [], 0
+        return out
+
+
+def _parts(word: str, special: re.Pattern | None) -> list[tuple[int, int | None, _Cut]]:
+    """Where each part of a word begins and where its special string does (in the part), and its cut.
+
+    The letters of a special string are ordinary ones as long as the last is missing.
+    """
+    out, at = [], 0
+    for m in special.finditer(word) if special is not None else ():
+        out.append((at, m.start() - at, _Cut(word[at:m.end() - 1])))
+        at = m.end()
+    if at < len(word):
+        out.append((at, None, _Cut(word[at:])))
+    return out
+
+
+def text_prefixes(counter: PrefixCounter, text: str, budget: int | None = None) -> np.ndarray:
     """Tokens of text[:i] for every i from 0 to the length.
 
-    A prefix that ends inside a piece is the pieces before, and the piece's own prefix. Where the
-    start of a word is cut otherwise than the whole (inside a contraction or a special string, at
-    letters that change with what follows), every prefix of that word is cut by itself.
+    A prefix that ends inside a piece is the pieces before, and the piece's own prefix; see ``_Cut``
+    for the exceptions. With ``budget``, counts above it may be any number above it.
     """
     special = special_pattern(counter.bpe)
     spans = [m.span() for m in _WORD.finditer(text)]
-    plans: dict[str, tuple[bool, list[list[str]]]] = {}
-    for a, b in spans:
-        word = text[a:b]
-        if word not in plans:
-            pieces = WORDS.pieces(word, special)
-            regular = "'" not in word and "<" not in word and (word.isascii() or (
-                unicodedata.is_normalized("NFC", word) and all(len(lowered(c)) == 1 for c in word)))
-            plans[word] = regular, [pieces] if regular else [
-                WORDS.pieces(word[:i], special) for i in range(1, len(word) + 1)]
+    plans = {word: _parts(word, special) for word in dict.fromkeys(text[a:b] for a, b in spans)}
     entries = {p: i for i, p in enumerate(dict.fromkeys(
-        p for _, cuts in plans.values() for cut in cuts for p in cut))}
+        [*"'rvle", *(p for parts in plans.values() for *_, cut in parts for p in cut.pieces)]))}
     rows, totals = piece_tables(counter, pa.array(list(entries), pa.string()))
     known: dict[str, np.ndarray] = {}
-    for word, (regular, cuts) in plans.items():
-        if regular:
-            numbers = np.array([entries[p] for p in cuts[0]])
-            base = np.cumsum(totals[numbers]) - totals[numbers]
-            known[word] = rows.take(numbers) + np.repeat(base, rows.lengths[numbers])
-        else:
-            known[word] = np.array([sum(int(totals[entries[p]]) for p in cut) for cut in cuts])
+    for word, parts in plans.items():
+        found, base = [], 0
+        for _, mark, cut in parts:
+            counts = cut.counts(entries, rows, totals, counter, budget)[1:] + base
+            found.append(counts)
+            if mark is not None:
+                base = (int(counts[mark - 1]) if mark else base) + 1
+                found.append(np.array([base]))
+        known[word] = np.concatenate(found)
     out = np.zeros(len(text) + 1, np.int64)
     done = at = 0
     for a, b in spans:
@@ -288,7 +391,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, budget: int | None = None, id_
                 for i in np.flatnonzero(totals > budget).tolist() if budget is not None else []:
                     numbers = pieces.numbers[ends[i] - pieces.counts[i]:ends[i]]
                     fit[i] = (fits_plain(texts[i].as_py(), numbers, table, sums, budget) if pieces.plain
-                              else longest_within(text_prefixes(counter, texts[i].as_py()), budget))
+                              else longest_within(text_prefixes(counter, texts[i].as_py(), budget), budget))
                 if with_prefixes:
                     tables = [text_prefixes(counter, t).astype("<u4").tobytes() for t in texts.to_pylist()]
                 yield pa.RecordBatch.from_arrays(

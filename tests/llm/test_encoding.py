@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -60,6 +61,29 @@ def test_every_prefix_count_equals_the_library(libraries):
         assert token_counts.text_prefixes(counter, text).tolist() == want, text
 
 
+def long_words():
+    rng = random.Random(6)
+    names = ",".join(f"name{i}" for i in range(3000))
+    return ["it's," + names, names + ",l'été,<|endoftext|>x'll" + names, "don't" + "一、二" * 4000,
+            "".join(rng.choice("a'<é,İrl1") for _ in range(4000)), "'" * 5000 + "re" * 3000]
+
+
+def test_long_words_are_cut_once(libraries):
+    counter = token_counts.PrefixCounter(Bpe(read(WORD)))
+    rng = random.Random(7)
+    for text in long_words():
+        tracemalloc.start()
+        got = token_counts.text_prefixes(counter, text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100_000_000, text[:20]
+        for i in [*rng.sample(range(len(text)), 40), len(text)]:
+            assert got[i] == len(libraries[WORD].encode(text[:i], add_special_tokens=False).ids), (text[:20], i)
+        for budget in (50, 1000):
+            some = token_counts.text_prefixes(counter, text, budget)
+            assert token_counts.longest_within(some, budget) == token_counts.longest_within(got, budget)
+
+
 def test_counts_and_budgets(spark, libraries):
     budget, texts = 50, cases.texts()
     got = token_counts.count_tokens(cases.documents(spark), WORD, budget, with_prefixes=True).collect()
