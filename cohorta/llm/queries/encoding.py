@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cohorta.llm import packing, token_counts, transducer
+from cohorta.llm import packing, token_counts, transducer, word_shuffle
 from cohorta.llm.common import table
 from cohorta.llm.queries.registry import query
 
@@ -31,3 +31,9 @@ def prefix_counts(spark, folder):
     counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                                         budget=TOKEN_LIMIT)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "n_fit")
+
+
+@query("op11_word_shuffle")
+def distinct_words(spark, folder):
+    coded = word_shuffle.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
