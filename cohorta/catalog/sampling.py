@@ -108,6 +108,24 @@ def smote_neighbors(t):
         t.fx_labelled.filter("label = 0"), "doc_id", FEATURES, k=5))
 
 
+# Eight measures of a document: how often each of these characters occurs in its text.
+_LETTERS = [" ", ".", ",", "e", "a", "t", "o", "1"]
+_WIDE_VIEW = "select doc_id, " + ", ".join(
+    f"cast(length(coalesce(text, '')) - length(replace(coalesce(text, ''), '{c}', '')) as double) as w{j}"
+    for j, c in enumerate(_LETTERS)) + " from documents"
+
+
+@query("smote_neighbors_cells", f"""
+    with points as ({_WIDE_VIEW}),
+    pairs as (select a.doc_id, b.doc_id as nn_id, {" + ".join(f"(a.w{j} - b.w{j}) * (a.w{j} - b.w{j})" for j in range(8))} as d2
+              from points a join points b on a.doc_id <> b.doc_id),
+    near as (select doc_id, nn_id, d2, row_number() over (partition by doc_id order by d2, nn_id) as nn_rank from pairs)
+    select doc_id, cast(nn_rank as integer) as nn_rank, nn_id, round(d2, 6) as d2 from near where nn_rank <= 5""")
+def smote_neighbors_cells(t):
+    """All documents, in cells of a few dozen."""
+    return rounded(neighbours.nearest_neighbours(t.sql(_WIDE_VIEW), "doc_id", [f"w{j}" for j in range(8)], k=5, cell_rows=32))
+
+
 @query("smote_rows", with_views("fx_labelled", f"""{_NEIGHBOURS},
     ranked as (select *, row_number() over (order by {u_sql('doc_id', 'order')}, doc_id) - 1 as pos,
                       count(*) over () as m from members),

@@ -104,6 +104,32 @@ def test_neighbours_equal_brute_force(spark, n, dims, cell_rows, hot):
     assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in got.collect()) == brute(data, 5)
 
 
+@pytest.mark.parametrize("dims", [2, 8])
+def test_neighbours_through_two_levels_of_trees(spark, monkeypatch, dims):
+    monkeypatch.setattr(neighbours, "ROUTED_ROWS", 30)
+    rng = np.random.default_rng(dims)
+    x = np.round(rng.normal(size=(400, dims)) @ rng.normal(size=(dims, dims)), 3)
+    data = {int(i): tuple(v) for i, v in enumerate(x)}
+    points = spark.createDataFrame([(i, list(map(float, v))) for i, v in data.items()], "vid long, x array<double>")
+    found, visits = neighbours._vector_neighbours(points, 400, dims, 4, 10, top_cells=5)
+    got = [(r["vid"], i + 1, e["vid"], round(e["d2"], 9)) for r in found.collect() for i, e in enumerate(r["near"])]
+    assert sorted(got) == brute(data, 4)
+    assert visits.agg(F.max("first")).first()[0] <= neighbours.FIRST_VISITS and visits.count() == 400
+
+
+def test_bounds_hold_and_cut_off_leaves():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 5)) * [10, 5, 1, 0.5, 0.1]
+    tree = neighbours.build_tree(x, 50)
+    leaf = neighbours.leaf_of(tree, x)
+    asks = rng.normal(size=(60, 5)) * [10, 5, 1, 0.5, 0.1]
+    point, found, bound = neighbours.leaves_within(tree, asks, np.full(60, np.inf))
+    assert len(point) == 60 * len(set(leaf))
+    for i, c, b in zip(point, found, bound):
+        assert ((x[leaf == c] - asks[i]) ** 2).sum(axis=1).min() >= b * (1 - 1e-9)
+    assert len(neighbours.leaves_within(tree, asks, np.full(60, 1.0))[0]) < 60 * len(set(leaf)) / 4
+
+
 def test_training_partitions_grow_with_the_rows(spark):
     from cohorta.operators.modelling import ROWS_PER_TASK, _dealt
     df = spark.range(10)
