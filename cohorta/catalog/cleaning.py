@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cohorta.catalog.profiling import mode_sql
+from cohorta.catalog.profiling import mode_sql, rank_checked
 from cohorta.catalog.registry import query, rounded, with_views
 from cohorta.functions import log1p_columns as add_logs
 from cohorta.operators import cleaning
+from cohorta.operators.profiling import approx_quantiles
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -80,10 +81,19 @@ def iqr_cap(t):
     return rounded(cleaning.iqr_capper(df, ["value"], exact=True).transform(df))
 
 
-@query("iqr_cap_sketch")
+@query("iqr_cap_sketch", """
+    select 0.25e0 as prob, count(value) as n, true as within, cast(0 as bigint) as outside from events
+    union all select 0.75e0, count(value), true, cast(0 as bigint) from events""")
 def iqr_cap_sketch(t):
+    """Quartiles of a sketch within its rank error, and no value beyond their fences after capping."""
     df = t.events.select("event_id", "value")
-    return rounded(cleaning.iqr_capper(df, ["value"]).transform(df))
+    found = approx_quantiles(df, ["value"], [0.25, 0.75]).collect()
+    quartiles = {"value": tuple(r["value"] for r in sorted(found, key=lambda r: r["prob"]))}
+    (lo, hi), = cleaning.iqr_fences(df, ["value"], quartiles=quartiles).values()
+    capped = cleaning.iqr_capper(df, ["value"], quartiles=quartiles).transform(df)
+    outside = capped.agg(F.count_if((F.col("value") < lo) | (F.col("value") > hi)).alias("outside"))
+    return rank_checked(df, found).select("prob", "n", "within").withColumn("one", F.lit(1)).join(
+        outside.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 @query("log1p_columns", """

@@ -96,6 +96,20 @@ def roc_curve(t):
     return finite(ev.roc_curve(t.fx_predictions))
 
 
+_CORNERS = """
+    , moves as (select {g}score, point_no, pos, neg, lead(pos) over ({over} point_no) as next_pos,
+                       lead(neg) over ({over} point_no) as next_neg from cum),
+    corners as (select c.* from curve c left join moves m on m.point_no = c.point_no {on}
+                where c.point_no <= 1 or m.next_pos is null or m.next_pos <> m.pos or m.next_neg <> m.neg)"""
+
+
+@query("roc_curve_corners", with_views("fx_models", roc_ctes("fx_models", "score", "model") + _CORNERS.format(
+    g="model, ", over="partition by model order by", on="and m.model = c.model") + _POINTS.format(g="model, ")
+    .replace("from curve", "from corners")))
+def roc_curve_corners(t):
+    return finite(ev.roc_curve(t.fx_models, score="score", groups=["model"], drop_intermediate=True))
+
+
 @query("roc_overlay", with_views("fx_models", roc_ctes("fx_models", "score", "model")
                                  + _POINTS.format(g="model, ")))
 def roc_overlay(t):

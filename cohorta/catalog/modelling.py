@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from cohorta.catalog.registry import query, rounded
-from cohorta.operators import cleaning, evaluation as ev, modelling as ml, sampling
+from cohorta.catalog.registry import query, rounded, with_views
+from cohorta.catalog.sampling import u_sql
+from cohorta.functions.uniform import hash_uniform
+from cohorta.operators import cleaning, evaluation as ev, modelling as ml, newton, sampling
 from cohorta.session import materialise, scratch_path
 
 FEATURES = ["x1", "x2", "x3"]
@@ -37,6 +39,57 @@ def linreg_fit(t):
                                    "slope double, intercept double, r2 double")
 
 
+def newton_sql(models: str, steps: int) -> str:
+    """Newton steps on the order lines, unrolled: ``models`` lists c and the fold left out of each fit.
+
+    u, v and w are the weights of probability and line number and the intercept.
+    """
+    text = f""", rows as (select probability as a, cast(l_linenumber as double) as b, actual as y,
+                                 cast(floor({u_sql('l_orderkey', 'fold')} * 5) as integer) as fold, count(*) as n
+                          from fx_predictions group by all),
+    b0 as (select c, left_out, 0e0 as u, 0e0 as v, 0e0 as w from ({models}) m)"""
+    for k in range(steps):
+        text += f""",
+    s{k} as (select c, left_out, u, v, w, sum(n * (p - y) * a) + u / c as g0, sum(n * (p - y) * b) + v / c as g1,
+                    sum(n * (p - y)) as g2, sum(n * p * (1 - p) * a * a) + 1 / c as h00, sum(n * p * (1 - p) * a * b) as h01,
+                    sum(n * p * (1 - p) * a) as h02, sum(n * p * (1 - p) * b * b) + 1 / c as h11,
+                    sum(n * p * (1 - p) * b) as h12, sum(n * p * (1 - p)) as h22
+             from (select *, 1 / (1 + exp(-(u * a + v * b + w))) as p from b{k}, rows where fold <> left_out) z
+             group by c, left_out, u, v, w),
+    d{k} as (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) as det
+             from s{k}),
+    b{k + 1} as (select c, left_out,
+        u - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det as u,
+        v - (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det as v,
+        w - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det as w from d{k})"""
+    return text
+
+
+@query("logreg_newton_scores", with_views("fx_predictions", newton_sql("select 1e0 as c, -1 as left_out", 16) + """
+    select l_orderkey, l_linenumber, round(1 / (1 + exp(-(u * probability + v * l_linenumber + w))), 6) as probability
+    from fx_predictions, b16"""))
+def logreg_newton_scores(t):
+    x = F.array("probability", F.col("l_linenumber").cast("double"))
+    weights, = newton.fit_all(newton.collapse(t.fx_predictions, x, "actual"), [newton.Fit(1.0)], 2)
+    return t.fx_predictions.select("l_orderkey", "l_linenumber", F.round(newton.probability(x, weights), 6).alias("probability"))
+
+
+@query("grid_newton", with_views("fx_predictions", newton_sql(
+    "select unnest([0.01e0, 0.1e0, 1e0, 10e0]) as c, left_out from (select unnest([0, 1, 2, 3, 4]) as left_out) f", 18) + """
+    , held as (select c, left_out, sum(case when (u * a + v * b + w > 0) = (y = 1) then n else 0 end) / cast(sum(n) as double) as right_share
+               from b18 join rows on fold = left_out group by c, left_out)
+    select c, round(avg(right_share), 6) as accuracy from held group by c"""))
+def grid_newton(t):
+    """Every C and fold of the grid with the l2 penalty, on one reading per step."""
+    x = F.array("probability", F.col("l_linenumber").cast("double"))
+    placed = t.fx_predictions.withColumn("fold", F.floor(hash_uniform("l_orderkey", stream="fold") * 5).cast("int"))
+    rows = newton.collapse(placed, x, "actual", "fold")
+    fits = [newton.Fit(c, "l2", fold) for c in ml.C_GRID for fold in range(5)]
+    right = newton.held_out_accuracy(rows, fits, newton.fit_all(rows, fits, 2))
+    cells = t.spark.createDataFrame([(f.c, a) for f, a in zip(fits, right)], "c double, share double")
+    return rounded(cells.groupBy("c").agg(F.avg("share").alias("accuracy")))
+
+
 @query("logreg_scores")
 def logreg_scores(t):
     df = order_lines(t)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohorta.catalog.registry import query, rounded, with_views
-from cohorta.operators import cleaning, profiling as prof
+from cohorta.operators import cleaning, profiling as prof, sketches
 from cohorta.operators.ranking import exact_quantiles
+from cohorta.session import scratch_path
 
 HOLES = ["qty", "price", "supp", "flag", "status"]
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -64,9 +65,25 @@ def quantiles_exact(t):
     return rounded(t.spark.createDataFrame(rows, "column string, prob double, value double"))
 
 
-@query("quantiles_approx")
+def rank_checked(df, found):
+    """column, prob, n and whether a value's rank is as near to prob n as the sketch says."""
+    tests = [F.struct(F.lit(r["column"]).alias("column"), F.lit(r["prob"]).alias("prob"), F.lit(r["n"]).alias("n"), (
+        (F.count_if(F.col(r["column"]) < r["value"]) - r["rank_error"] <= r["prob"] * r["n"])
+        & (F.count_if(F.col(r["column"]) <= r["value"]) + r["rank_error"] >= r["prob"] * r["n"])).alias("within"))
+        for r in found]
+    return df.agg(F.array(*tests).alias("t")).select(F.explode("t").alias("t")).select("t.*")
+
+
+@query("quantiles_approx", " union all ".join(
+    per_column([c], f"cast({p} as double) as prob, count({{c}}) as n, true as within", "lineitem")
+    for c in NUMBERS for p in PROBS))
 def quantiles_approx(t):
-    return prof.approx_quantiles(t.lineitem, NUMBERS, [0.25, 0.75], 0.05)
+    """Sketches of the two halves of the lines are stored apart, merged from the files and asked."""
+    path = scratch_path(t.spark, "sketches")
+    for half in ("l_linenumber <= 3", "l_linenumber > 3"):
+        sketches.sketch_columns(t.lineitem.filter(half), NUMBERS, size=256).write.mode("append").parquet(path)
+    merged = sketches.merge_sketches(t.spark.read.parquet(path))
+    return rank_checked(t.lineitem, sketches.sketch_quantiles(merged, PROBS).collect())
 
 
 @query("distinct_profile", with_views("fx_holes", per_column(

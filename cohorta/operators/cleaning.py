@@ -11,7 +11,7 @@ from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, VectorAs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.operators.profiling import column_mode, without_nan
+from cohorta.operators.profiling import approx_quantiles, column_mode
 from cohorta.operators.ranking import exact_quantiles
 from cohorta.functions.scalar import vector_has_nan
 
@@ -68,9 +68,10 @@ def mode_imputer(df: DataFrame, cols: list[str], default: str = "Unknown") -> Tr
     return replace_columns(exprs)
 
 
-def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False, relative_error: float = 0.001,
+def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False,
                quartiles: dict[str, tuple] | None = None) -> dict[str, tuple[float, float]]:
-    """(Q1 - 1.5 IQR, Q3 + 1.5 IQR) per column that has values; ``quartiles`` if already known."""
+    """(Q1 - 1.5 IQR, Q3 + 1.5 IQR) per column that has values; ``quartiles`` if already known, as from
+    stored sketches. Without ``exact`` the quartiles are those of a sketch that knows its error."""
     if not cols:
         return {}
     if quartiles:
@@ -78,10 +79,8 @@ def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False, relative_err
     elif exact:
         quartiles = exact_quantiles(df, cols, [0.25, 0.75])
     else:
-        accuracy = max(1, round(1 / relative_error))
-        row = df.agg(*[F.percentile_approx(without_nan(c), [0.25, 0.75], accuracy).alias(c)
-                       for c in cols]).first()
-        quartiles = {c: row[c] or [None, None] for c in cols}
+        found = {(r["column"], r["prob"]): r["value"] for r in approx_quantiles(df, cols, [0.25, 0.75]).collect()}
+        quartiles = {c: (found.get((c, 0.25)), found.get((c, 0.75))) for c in cols}
     out = {}
     for c, (q1, q3) in quartiles.items():
         if q1 is not None:
@@ -89,10 +88,10 @@ def iqr_fences(df: DataFrame, cols: list[str], exact: bool = False, relative_err
     return out
 
 
-def iqr_capper(df: DataFrame, cols: list[str], exact: bool = False, relative_error: float = 0.001,
+def iqr_capper(df: DataFrame, cols: list[str], exact: bool = False,
                quartiles: dict[str, tuple] | None = None) -> Transformer:
     """Values outside the fences become the fence; NULL stays NULL."""
-    fences = iqr_fences(df, cols, exact, relative_error, quartiles)
+    fences = iqr_fences(df, cols, exact, quartiles)
     return replace_columns({
         c: f"case when `{c}` < {_number(lo)} then {_number(lo)} "
            f"when `{c}` > {_number(hi)} then {_number(hi)} else cast(`{c}` as double) end"

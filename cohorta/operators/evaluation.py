@@ -96,8 +96,9 @@ def score_counts(df: DataFrame, actual: str = "actual", score: str = "probabilit
 def _cumulated(df: DataFrame, actual: str, score: str, groups: list[str]) -> tuple[DataFrame, DataFrame]:
     """Score levels from the highest down with running totals, and the totals per group."""
     levels = score_counts(df, actual, score, groups).withColumn("_one", F.lit(1))
-    cumulated = running_totals(levels, "score", {"pos": "tp", "neg": "fp", "_one": "point_no"},
-                               groups, descending=True)
+    cumulated = running_totals(levels.withColumn("_step", F.struct("pos", "neg")), "score",
+                               {"pos": "tp", "neg": "fp", "_one": "point_no"}, groups, descending=True,
+                               following={"_step": "_next"})
     totals = cumulated.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cumulated, totals
 
@@ -111,13 +112,18 @@ def _with_totals(df: DataFrame, totals: DataFrame, groups: list[str]) -> DataFra
 
 
 def roc_curve(df: DataFrame, actual: str = "actual", score: str = "probability",
-              groups: list[str] | None = None) -> DataFrame:
+              groups: list[str] | None = None, drop_intermediate: bool = False) -> DataFrame:
     """(groups, point_no, threshold, fpr, tpr): (0, 0) first, then one point per distinct score.
 
-    A rate without cases (one class only) is NULL.
+    ``drop_intermediate`` leaves out points in the middle of equal steps (as many positives and
+    negatives at this score as at the next one): a drawn curve is the same without them, and so is
+    its area. The first and the last score stay, points keep their numbers. A rate without cases
+    (one class only) is NULL.
     """
     groups = groups or []
     cumulated, totals = _cumulated(df, actual, score, groups)
+    if drop_intermediate:
+        cumulated = cumulated.filter((F.col("point_no") == 1) | ~F.col("_step").eqNullSafe(F.col("_next")))
     start = totals.select(*groups, F.lit(0).cast("long").alias("point_no"),
                           F.lit(float("inf")).alias("threshold"),
                           F.when(F.col("N") > 0, 0.0).alias("fpr"), F.when(F.col("P") > 0, 0.0).alias("tpr"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from cohorta.config import SEED
 from cohorta.functions.scalar import positive_probability, threshold_score
+from cohorta.operators import newton
 from cohorta.operators.kernel import FourierFeatures
 from cohorta.operators.sampling import stratified_folds
 from cohorta.session import materialise
@@ -171,22 +172,25 @@ def _cross_validate(cells: list[Estimator], df: DataFrame, label: str, folds: in
 
 
 def tune_logistic(df: DataFrame, features: str, label: str, keys: list[str], folds: int = 5,
-                  seed: int = SEED, max_iter: int = 1000, parallelism: int = 8):
+                  seed: int = SEED, max_iter: int = 1000):
     """Grid over C and penalty by cross-validated accuracy.
 
-    Returns (cells with C, penalty, accuracy and rank order, model refitted on all rows).
+    All cells and folds take their Newton steps together: one job per step. Returns (cells with C,
+    penalty, accuracy and whether best, model refitted on all rows).
     """
-    placed, train_rows = _folded(df.select(*keys, features, label), label, keys, folds, seed)
+    placed = stratified_folds(df.select(*keys, features, label), folds, label, keys, seed)
+    rows = newton.collapse(placed, vector_to_array(features), label, "fold")
     cells = [(c, p) for c in C_GRID for p in PENALTIES]
-    fits = [LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, tol=GRID_TOL,
-                               standardization=False, regParam=penalty_weight(c, train_rows),
-                               elasticNetParam=1.0 if p == "l1" else 0.0) for c, p in cells]
-    scores = _cross_validate(fits, placed, label, folds, parallelism)
+    fits = [newton.Fit(c, p, fold) for c, p in cells for fold in range(folds)]
+    weights = newton.fit_all(rows, fits, rows.select(F.size("x")).first()[0], tol=GRID_TOL)
+    right = newton.held_out_accuracy(rows, fits, weights)
+    parts = [[a for a in right[i * folds:(i + 1) * folds] if a is not None] for i in range(len(cells))]
+    scores = [sum(p) / len(p) for p in parts]
     best = max(range(len(cells)), key=lambda i: scores[i])
-    model = fit_logistic(placed, features, label, *cells[best], max_iter=max_iter)
-    rows = [(c, p, s, i == best) for i, ((c, p), s) in enumerate(zip(cells, scores))]
+    model = fit_logistic(df, features, label, *cells[best], max_iter=max_iter)
+    listed = [(c, p, s, i == best) for i, ((c, p), s) in enumerate(zip(cells, scores))]
     return df.sparkSession.createDataFrame(
-        rows, "c double, penalty string, accuracy double, best boolean"), model
+        listed, "c double, penalty string, accuracy double, best boolean"), model
 
 
 def tune_svm(df: DataFrame, features: str, label: str, keys: list[str], folds: int = 5,

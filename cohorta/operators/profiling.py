@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegralType, NumericType,
 
 from cohorta.config import STAY_KEYS
 from cohorta.functions.scalar import vector_has_nan
+from cohorta.operators.sketches import LEVEL_VALUES, merge_sketches, sketch_columns, sketch_quantiles
 
 COUNTABLE_TYPES = ("double", "float", "int", "bigint")
 
@@ -66,15 +67,9 @@ def skewness_sample(df: DataFrame, cols: list[str]) -> DataFrame:
     return _one_pass(df, cols, {"skew": corrected})
 
 
-def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     relative_error: float = 0.05) -> DataFrame:
-    """(column, prob, value) from one sketch per column."""
-    accuracy = max(1, round(1 / relative_error))
-    wide = df.agg(*[F.percentile_approx(without_nan(c), probs, accuracy).alias(f"q_{i}")
-                    for i, c in enumerate(cols)])
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"q_{i}")[j].alias("value"))
-            for i, c in enumerate(cols) for j, p in enumerate(probs)]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], size: int = LEVEL_VALUES) -> DataFrame:
+    """(column, prob, value, rank_error, n) from one pass: value's rank is prob n up to rank_error."""
+    return sketch_quantiles(merge_sketches(sketch_columns(df, cols, size)), probs)
 
 
 def _as_text(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -72,8 +72,10 @@ def take_by_hash(df: DataFrame, n: int, u: str, tie: list[str], small: int = 200
 
 
 def running_totals(df: DataFrame, order: str, sums: dict[str, str], groups: list[str] | None = None,
-                   descending: bool = False, partitions: int | None = None) -> DataFrame:
-    """Add ``sums[name]`` = running total of column ``name`` up to and with this row.
+                   descending: bool = False, partitions: int | None = None,
+                   following: dict[str, str] | None = None) -> DataFrame:
+    """Add ``sums[name]`` = running total of column ``name`` up to and with this row, and
+    ``following[name]`` = column ``name`` of the next row (NULL in a group's last row).
 
     Rows must be unique in (groups, order): collapse equal values first. The range
     partitions are written to the checkpoint folder, so the totals of each partition and
@@ -85,15 +87,22 @@ def running_totals(df: DataFrame, order: str, sums: dict[str, str], groups: list
     ranges = ([partitions] if partitions else []) + [F.asc(g) for g in groups] + [key]
     placed = materialise(df.repartitionByRange(*ranges).withColumn("_part", F.spark_partition_id()))
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    part_sums = placed.groupBy(*groups, "_part").agg(*[F.sum(c).alias(c) for c in sums])
-    offsets = part_sums.select(*groups, "_part", *[
-        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in sums])
-    inside = (Window.partitionBy(*groups, "_part").orderBy(key)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = _with_offsets(placed, offsets, [*groups, "_part"], [f"_before_{c}" for c in sums])
-    return (out.withColumns({name: F.col(f"_before_{c}") + F.sum(c).over(inside)
-                             for c, name in sums.items()})
-            .drop("_part", *[f"_before_{c}" for c in sums]))
+    following = following or {}
+    first_of = F.max_by if descending else F.min_by  # a partition's first row is the one before's next
+    part_sums = placed.groupBy(*groups, "_part").agg(
+        *[F.sum(c).alias(c) for c in sums], *[first_of(c, order).alias(f"_first_{c}") for c in following])
+    parts = Window.partitionBy(*groups).orderBy("_part")
+    offsets = part_sums.select(
+        *groups, "_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
+        *[F.lead(f"_first_{c}").over(parts).alias(f"_next_{c}") for c in following])
+    ordered = Window.partitionBy(*groups, "_part").orderBy(key)
+    inside = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = [*[f"_before_{c}" for c in sums], *[f"_next_{c}" for c in following]]
+    out = _with_offsets(placed, offsets, [*groups, "_part"], added)
+    return (out.withColumns({name: F.col(f"_before_{c}") + F.sum(c).over(inside) for c, name in sums.items()}
+                            | {name: F.coalesce(F.lead(c).over(ordered), F.col(f"_next_{c}"))
+                               for c, name in following.items()})
+            .drop("_part", *added))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],

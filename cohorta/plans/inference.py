@@ -73,7 +73,7 @@ def fit(stages: Stages, source: str = "sampled_prepared") -> dict[str, DataFrame
     ml.save_model(model, stages.path("inference_model"))
     stages.write(ml.score_rows(model, df, LABEL, STAY_KEYS), "training_scores")
     scored = stages.read("training_scores")
-    write_roc(ev.roc_curve(scored.withColumn("run", F.lit("training")), groups=["run"]),
+    write_roc(ev.roc_curve(scored.withColumn("run", F.lit("training")), groups=["run"], drop_intermediate=True),
               stages.path("training_roc"))
     return {"classes": rel.category_counts(df, LABEL), "auc": ev.auc(scored)}
 
@@ -85,7 +85,7 @@ def infer(stages: Stages, source: str = "features") -> dict[str, DataFrame]:
     stages.write(ml.score_rows(model, stages.read(f"{source}_prepared"), LABEL, STAY_KEYS), "inference_scores")
     scored = stages.read("inference_scores")
     curves = read_roc(stages.spark, stages.path("training_roc")).unionByName(
-        ev.roc_curve(scored.withColumn("run", F.lit("inference")), groups=["run"]))
+        ev.roc_curve(scored.withColumn("run", F.lit("inference")), groups=["run"], drop_intermediate=True))
     both = scored.withColumn("run", F.lit("inference")).unionByName(
         stages.read("training_scores").withColumn("run", F.lit("training")))
     compared = ev.compare_roc(both, "run")

@@ -136,7 +136,7 @@ def report(stages: Stages, test_share: float = 0.2, seed: int = SEED,
     return {
         "metrics": ev.binary_metrics(predictions), "report": ev.classification_report(predictions),
         "baselines": ev.compare_models(scored, score="probability"),
-        "roc": ev.roc_curve(scored, groups=["model"])}
+        "roc": ev.roc_curve(scored, groups=["model"], drop_intermediate=True)}
 
 
 def tune(stages: Stages, test_share: float = 0.3, seed: int = SEED,
@@ -153,7 +153,7 @@ def tune(stages: Stages, test_share: float = 0.3, seed: int = SEED,
     return {
         "logistic_grid": logistic_cells, "svm_grid": svm_cells,
         "report": ev.classification_report(scored, groups=["model"]),
-        "roc": ev.roc_curve(scored, groups=["model"]),
+        "roc": ev.roc_curve(scored, groups=["model"], drop_intermediate=True),
         "auc": ev.auc(scored, groups=["model"])}
 
 

@@ -2,10 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from cohorta.operators import cleaning, evaluation as ev, modelling as ml
+from cohorta.operators import cleaning, evaluation as ev, modelling as ml, newton
 
 
 def scored(spark, rows):
@@ -133,3 +134,58 @@ def test_grids_list_all_cells(cloud, monkeypatch):
     got = {(r["gamma"], r["kernel"]): r["accuracy"] for r in cells.collect()}
     assert len(got) == 4 and got["scale", "linear"] == got["auto", "linear"]
     assert ml.score_rows(model, df, "y").count() == 800
+
+
+def weighted_rows(seed=8, n=1500):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, 3)) * [1, 2, 0.5], 1)
+    y = (rng.random(n) < 1 / (1 + np.exp(-(x @ [1.5, -0.6, 0.0] + 0.4)))).astype(int)
+    return [(i, [float(v) for v in a], int(b), i % 3) for i, (a, b) in enumerate(zip(x, y))]
+
+
+def test_newton_reaches_the_optimum_of_every_fit(spark, monkeypatch):
+    data = weighted_rows()
+    df = spark.createDataFrame(data, "id long, x array<double>, y int, fold int").repartition(3)
+    rows = newton.collapse(df, F.col("x"), "y", "fold")
+    assert rows.count() < len(data) and rows.agg(F.sum("n")).first()[0] == len(data)
+    fits = [newton.Fit(c, p, f) for c in (0.01, 1.0) for p in ("l1", "l2", None) for f in (newton.NO_FOLD, 0, 2)]
+    passes, sums = [], newton.loss_sums
+    monkeypatch.setattr(newton, "loss_sums", lambda *a: passes.append(1) or sums(*a))
+    found = newton.fit_all(rows, fits, 3)
+    assert len(passes) < 40  # one job per step for all 18 fits
+    x, y, fold = (np.array([r[k] for r in data], float) for k in (1, 2, 3))
+    full = np.column_stack([x, np.ones(len(x))])
+    for fit, w in zip(fits, found):
+        kept = fold != fit.left_out
+        slope = full[kept].T @ (1 / (1 + np.exp(-full[kept] @ w)) - y[kept])
+        if fit.penalty == "l2":
+            slope[:3] += w[:3] / fit.c
+        if fit.penalty == "l1":
+            zero = w[:3] == 0
+            assert (np.abs(slope[:3][zero]) <= 1 / fit.c + 1e-4).all()
+            slope[:3] = np.where(zero, 0, slope[:3] + np.sign(w[:3]) / fit.c)
+        assert np.abs(slope).max() < 1e-3
+    accuracy = newton.held_out_accuracy(rows, fits, found)
+    for fit, w, a in zip(fits, found, accuracy):
+        held = fold == fit.left_out
+        assert a == (None if not held.any() else pytest.approx(((full[held] @ w > 0) == (y[held] == 1)).mean()))
+
+
+def test_newton_equals_single_fits(spark):
+    df = spark.createDataFrame(weighted_rows(), "id long, x array<double>, y int, fold int")
+    rows = newton.collapse(df, F.col("x"), "y")
+    vectors = df.withColumn("features", array_to_vector("x"))
+    fits = [newton.Fit(c, p) for c in (0.1, 1.0) for p in ("l1", "l2")]
+    for fit, w in zip(fits, newton.fit_all(rows, fits, 3)):
+        model = ml.fit_logistic(vectors, "features", "y", fit.c, fit.penalty).stages[-1]
+        assert np.abs(model.coefficients.toArray() - w[:3]).max() < 2e-3 and abs(model.intercept - w[3]) < 2e-3
+
+
+def test_newton_refuses_missing_values_and_takes_no_rows(spark):
+    for bad in ([1.0, None], [1.0, float("nan")], None):
+        df = spark.createDataFrame([([0.0, 1.0], 1), (bad, 0)], "x array<double>, y int")
+        with pytest.raises(Exception, match="missing or not finite"):
+            newton.collapse(df, F.col("x"), "y").collect()
+    none = newton.collapse(spark.createDataFrame([], "x array<double>, y int"), F.col("x"), "y")
+    assert np.allclose(newton.fit_all(none, [newton.Fit()], 2)[0], 0)
+    assert newton.held_out_accuracy(none, [newton.Fit(left_out=1)], [np.zeros(3)]) == [None]
