@@ -150,6 +150,18 @@ def correlation_matrix(t):
     return rounded(prof.correlation_matrix(t.fx_holes, ["qty", "price", "supp"]))
 
 
+@query("correlation_wide", """
+    with waves as (select c_custkey, k, case when c_nationkey = k % 25 then null else cos(k * c_acctbal / 1000e0) end as v
+                   from customer, (select unnest(range(1, 201)) as k) r)
+    select 'w' || a.k as x, 'w' || b.k as y, round(corr(a.v, b.v), 6) as r
+    from waves a join waves b on a.c_custkey = b.c_custkey group by a.k, b.k""")
+def correlation_wide(t):
+    """200 derived columns with holes: 40,000 cells out of blocks of sums."""
+    waves = [F.when(F.col("c_nationkey") != k % 25, F.cos(k * F.col("c_acctbal") / 1000.0)).alias(f"w{k}")
+             for k in range(1, 201)]
+    return rounded(prof.correlation_matrix(t.customer.select(*waves), [f"w{k}" for k in range(1, 201)]))
+
+
 @query("correlation_complete", with_views("fx_holes", _pairs(
     ["qty", "price", "supp"], "fx_holes",
     "where qty is not null and price is not null and supp is not null")))

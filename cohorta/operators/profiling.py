@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegralType, NumericType,
 
 from cohorta.config import STAY_KEYS
 from cohorta.functions.scalar import vector_has_nan
+from cohorta.operators.gram import correlations, pair_sums
 from cohorta.operators.sketches import LEVEL_VALUES, merge_sketches, sketch_columns, sketch_quantiles
 
 COUNTABLE_TYPES = ("double", "float", "int", "bigint")
@@ -162,26 +163,23 @@ def cardinality_classes(df: DataFrame, ids: list[str] = STAY_KEYS, categorical:
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """(x, y, r): Pearson correlation of every pair, each on the rows where both are present.
 
-    NULL where a column is constant; ``corr`` would raise there under ANSI division.
+    NULL where a column is constant, NaN where one of the values is. Any number of columns in one
+    pass over the rows (``gram.pair_sums``).
     """
-    def r(a: Column, b: Column) -> Column:
-        return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
-
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(*[r(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r_{i}_{j}")
-                   for i, j in pairs])
-    cells = [F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"),
-                      F.col(f"r_{min(i, j)}_{max(i, j)}").alias("r"))
-             for i in range(len(cols)) for j in range(len(cols))]
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    sums = pair_sums(df, cols)
+    r, nan = correlations(sums), sums["nan"] > 0
+    cells = [(x, y, math.nan if nan[i, j] else None if math.isnan(r[i, j]) else float(r[i, j]))
+             for i, x in enumerate(cols) for j, y in enumerate(cols)]
+    return df.sparkSession.createDataFrame(cells, "x string, y string, r double")
 
 
 def complete_correlation(df: DataFrame, cols: list[str]) -> np.ndarray:
     """Pearson matrix over the rows that are complete in all columns; NaN beside the
     diagonal for a constant column."""
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    r = {(x["x"], x["y"]): x["r"] for x in correlation_matrix(rows, cols).collect()}
-    return np.array([[1.0 if a == b else math.nan if r[a, b] is None else r[a, b] for b in cols] for a in cols])
+    r = correlations(pair_sums(rows, cols))
+    np.fill_diagonal(r, 1.0)
+    return r
 
 
 def vif(df: DataFrame, cols: list[str]) -> DataFrame:

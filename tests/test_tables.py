@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohorta.operators import evaluation as ev, exploration as ex, sketches
+from cohorta.operators import evaluation as ev, exploration as ex, gram, sketches
 from cohorta.operators.ranking import running_totals
 
 
@@ -114,3 +114,27 @@ def test_bins_are_bounded_and_count_all_rows(spark):
     pairs = ex.pair_density(df, ["far", "near"], summary)
     assert pairs.agg(F.sum("n")).first()[0] == 5001
     assert pairs.agg(F.max("x_bin")).first()[0] < ex.MOST_PAIR_BINS
+
+
+def test_sums_of_pairs_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(gram, "BLOCK", 3)
+    monkeypatch.setattr(gram, "ADDED_TOGETHER", 2)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 7)) @ rng.normal(size=(7, 7)) + 1e6
+    holes = rng.random(x.shape) < 0.2
+    rows = [tuple(None if h else float(v) for v, h in zip(a, b)) + (5.0, None) for a, b in zip(x, holes)]
+    names = [f"c{j}" for j in range(7)] + ["same", "none"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(5)
+    r = gram.correlations(gram.pair_sums(df, names))
+    for i in range(7):
+        for j in range(7):
+            both = ~holes[:, i] & ~holes[:, j]
+            assert r[i, j] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert np.isnan(r[7:]).all() and np.isnan(r[:, 7:]).all()
+    assert np.isnan(gram.correlations(gram.pair_sums(df.limit(0), names))).all()
+
+
+def test_nan_spoils_its_pairs_only(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, float("nan"), 1.0), (4.0, 5.0, 9.0)], "a double, b double, c double")
+    sums = gram.pair_sums(df, ["a", "b", "c"])
+    assert np.isnan(gram.correlations(sums)).tolist() == [[False, True, False], [True, True, True], [False, True, False]]
