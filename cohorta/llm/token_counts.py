@@ -27,6 +27,8 @@ travels(__name__)
 
 LATEST = np.int64(2**40)
 BLOCK_BYTES = 400_000  # pieces whose tokens are held at once
+LONG_PIECE, KNOWN_PAIRS = 2048, 1_000_000  # bytes of a piece worked on by itself; pairs remembered for it
+LONG_RUN, CONTEXT = 64, 8  # letters of a piece whose prefixes are not cut one by one, and of its end that are
 
 _LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
 _KEPT: dict = {}  # made once per task
@@ -45,6 +47,8 @@ class PrefixCounter:
         self.made_by = made_by
         self.longest = max(map(len, bpe.vocab))  # letters of a token, at least
         self._build_trie()
+        self._recent: tuple = (None, None)  # the long piece seen last and its states
+        self._known_pairs: dict[int, bool] = {}
 
     def _build_trie(self) -> None:
         bpe, suffix = self.bpe, self.bpe.suffix
@@ -130,18 +134,16 @@ class PrefixCounter:
     def counts(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """For each byte of each piece: the tokens of the piece up to and with that byte."""
         ends = np.cumsum(lengths)
-        parts = np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1)
-        return np.concatenate([self._counts(flat[ends[p[0]] - lengths[p[0]]:ends[p[-1]]], lengths[p])
+        alone = lengths > LONG_PIECE
+        parts = np.split(np.arange(len(lengths)),
+                         np.flatnonzero(np.diff(ends // BLOCK_BYTES).astype(bool) | alone[1:] | alone[:-1]) + 1)
+        return np.concatenate([self.states(flat[ends[p[0]] - lengths[p[0]]:ends[p[-1]]], lengths[p])[0]
                                for p in parts if len(p)] or [np.zeros(0, np.int64)])
 
-    def _counts(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def _tokens_in(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """All tokens that lie in the pieces: from, to (both flat; ``to`` is the last byte), trie node."""
         total = int(lengths.sum())
-        if not total:
-            return np.zeros(0, np.int64)
-        starts = np.cumsum(lengths) - lengths
-        word = np.repeat(np.arange(len(lengths)), lengths)
-        left_in = starts[word] + lengths[word] - np.arange(total)  # bytes from here to the piece's end
-        # All tokens that lie in the pieces: from, to (both flat; ``to`` is the last byte), trie node.
+        left_in = np.repeat(np.cumsum(lengths), lengths) - np.arange(total)  # bytes from here to the piece's end
         froms, tos, nodes = [], [], []
         at, node, depth = np.arange(total), np.zeros(total, np.int64), 0
         while len(at):
@@ -155,12 +157,73 @@ class PrefixCounter:
             depth += 1
             more = left_in[at] > depth
             at, node = at[more], node[more]
-        froms, tos, nodes = np.concatenate(froms), np.concatenate(tos), np.concatenate(nodes)
+        return np.concatenate(froms), np.concatenate(tos), np.concatenate(nodes)
+
+    def _long_states(self, flat: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``states`` of one long piece, token by token: side by side there is nothing to gain."""
+        data = flat.tobytes()
+        if self._recent[0] == data:
+            return self._recent[1]
+        froms, tos, nodes = self._tokens_in(flat, np.array([len(flat)]))
+        order = np.argsort(tos, kind="stable")
+        last, inner, counts = [-1] * len(flat), [0] * len(flat), [0] * len(flat)
+        for f, t, plain, final in zip(froms[order].tolist(), tos[order].tolist(), self.plain[nodes[order]].tolist(),
+                                      self.final[nodes[order]].tolist()):
+            before, base = (-1, 0) if not f else (last[f - 1], inner[f - 1])
+            if f and before < 0:
+                continue
+            if plain >= 0 and (not f or self._apart(before, plain)):
+                last[t], inner[t] = plain, base + 1
+            if final >= 0 and (not f or self._apart(before, final)):
+                counts[t] = base + 1
+        self._recent = data, tuple(np.array(x, np.int64) for x in (counts, last, inner))
+        return self._recent[1]
+
+    def _apart(self, left: int, right: int) -> bool:
+        key = left << 20 | right
+        if key not in self._known_pairs:
+            if len(self._known_pairs) >= KNOWN_PAIRS:
+                self._known_pairs.clear()
+            self._known_pairs[key] = bool(self.keep_apart(np.array([left]), np.array([right]))[0])
+        return self._known_pairs[key]
+
+    def extended(self, piece: np.ndarray, states: tuple[np.ndarray, ...], at: np.ndarray, tails: list[bytes]) -> np.ndarray:
+        """Tokens of piece[:at] + tail for many places and tails, from the states of the whole piece.
+
+        No token reaches further back than the longest is, so the states before that are not needed.
+        """
+        low = np.maximum(at - self.longest - 1, 0)
+        known, extra = at - low, np.array([len(t) for t in tails], np.int64)
+        lengths = known + extra
+        inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        seeded = inside < np.repeat(known, lengths)
+        flat = np.zeros(len(inside), np.uint8)
+        flat[seeded] = ragged(piece, low, known)
+        flat[~seeded] = np.frombuffer(b"".join(tails), np.uint8)
+        last, inner = np.full(len(flat), -1, np.int64), np.zeros(len(flat), np.int64)
+        last[seeded], inner[seeded] = ragged(states[1], low, known), ragged(states[2], low, known)
+        return self.states(flat, lengths, (seeded, last, inner, low == 0))[0][np.cumsum(lengths) - 1]
+
+    def states(self, flat: np.ndarray, lengths: np.ndarray, seeds: tuple | None = None) -> tuple[np.ndarray, ...]:
+        """For each byte: the tokens of the piece up to it, the last of them if the piece goes on, and
+        how many there are then. ``seeds``: which bytes have states already, these, and which pieces
+        begin where they are cut."""
+        total = int(lengths.sum())
+        if not total:
+            return (np.zeros(0, np.int64),) * 3
+        if seeds is None and len(lengths) == 1 and total > LONG_PIECE:
+            return self._long_states(flat)
+        starts = np.cumsum(lengths) - lengths
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        froms, tos, nodes = self._tokens_in(flat, lengths)
+        if seeds is not None:
+            new = ~seeds[0][tos] & (seeds[3][word[tos]] | (froms > starts[word[tos]]))
+            froms, tos, nodes = froms[new], tos[new], nodes[new]
         place = tos - starts[word[tos]]
         order = np.argsort(place, kind="stable")
         froms, tos, nodes, place = froms[order], tos[order], nodes[order], place[order]
-        last = np.full(total, -1, np.int64)  # last token of the prefix as the start of a longer piece
-        inner = np.zeros(total, np.int64)
+        # The last token of the prefix as the start of a longer piece, and the tokens it then has.
+        last, inner = (np.full(total, -1, np.int64), np.zeros(total, np.int64)) if seeds is None else seeds[1:3]
         counts = np.zeros(total, np.int64)
         cuts = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -179,7 +242,7 @@ class PrefixCounter:
                     counts[t[good]] = base[good] + 1
                 else:
                     last[t[good]], inner[t[good]] = tokens[good], base[good] + 1
-        return counts
+        return counts, last, inner
 
 
 def _letter_ends(flat: np.ndarray) -> np.ndarray:
@@ -236,7 +299,8 @@ class _Cut:
 
     def __init__(self, text: str):
         self.known: list[tuple[int, int]] | None = None  # prefix, its length in lower case; none: the same
-        self.again: list[tuple[int, int, str]] = []  # prefix, pieces that stay, text from there on
+        # Prefix, pieces that stay, where the letters that compose begin (in lower case), what they are here.
+        self.again: list[tuple[int, int, int, str]] = []
         if text.isascii() or unicodedata.is_normalized("NFC", text) and all(len(lowered(c)) == 1 for c in text):
             self._cut(lowered(text))
             return
@@ -254,14 +318,14 @@ class _Cut:
                     self.known.append((i, at + len(part)))
                 else:
                     k = bisect_right(stops, at - 2)  # a piece is settled two letters after its end
-                    self.again.append((i, k, whole[stops[k - 1] if k else 0:at] + part))
+                    self.again.append((i, k, at, part))
             at += len(cluster)
             self.known.append((b, at))
 
     def _cut(self, whole: str) -> None:
         self.spans = [m.span() for m in WORDS.pattern.finditer(whole)]
         self.pieces = [whole[a:b] for a, b in self.spans]
-        self.length = len(whole)
+        self.whole, self.length = whole, len(whole)
 
     def counts(self, entries: dict[str, int], rows: Rows, totals: np.ndarray, counter: PrefixCounter,
                budget: int | None) -> np.ndarray:
@@ -278,21 +342,47 @@ class _Cut:
         out = np.zeros(self.known[-1][0] + 1, np.int64)
         for i, n in self.known:
             out[i] = table[n]
-        waiting: list[tuple[int, int, list[str]]] = []
-        size = 0
-        for n, (i, k, rest) in enumerate(self.again):
+        stops = [b for _, b in self.spans]
+        waiting: list[tuple[int, int, list[str]]] = []  # prefix, tokens before, pieces
+        long: dict[int, list[tuple[int, int, str]]] = {}
+        for i, k, at, part in self.again:
+            start = stops[k - 1] if k else 0
             # No token is longer than the longest of the vocabulary.
-            if budget is not None and upto[k] + len(rest) // counter.longest > budget:
+            if budget is not None and upto[k] + (at - start + len(part)) // counter.longest > budget:
                 out[i] = budget + 1
+            elif at - start > LONG_RUN:
+                long.setdefault(k, []).append((i, at, part))
             else:
-                waiting.append((i, int(upto[k]), WORDS.pattern.findall(rest)))
-                size += len(rest)
-            if waiting and (size >= BLOCK_BYTES or n == len(self.again) - 1):  # some at a time
-                some = {p: j for j, p in enumerate(dict.fromkeys(p for *_, cut in waiting for p in cut))}
-                sums = piece_tables(counter, pa.array(list(some), pa.string()))[1]
-                for j, base, cut in waiting:
-                    out[j] = base + sum(int(sums[some[p]]) for p in cut)
-                waiting, size = [], 0
+                waiting.append((i, int(upto[k]), WORDS.pattern.findall(self.whole[start:at] + part)))
+        for k, ends in long.items():
+            waiting += self._long(k, ends, int(upto[k]), counter)
+        some = {p: j for j, p in enumerate(dict.fromkeys(p for *_, cut in waiting for p in cut))}
+        sums = piece_tables(counter, pa.array(list(some), pa.string()))[1]
+        for i, base, cut in waiting:
+            out[i] = base + sum(int(sums[some[p]]) for p in cut)
+        return out
+
+    def _long(self, k: int, ends: list[tuple[int, int, str]], before: int, counter: PrefixCounter) -> list[tuple]:
+        """The same for prefixes that end far inside or just behind piece k: its states are computed
+        once, and each prefix goes on from them with the letters that differ."""
+        start, stop = self.spans[k]
+        piece = np.frombuffer(self.pieces[k].encode(), np.uint8)
+        states = counter.states(piece, np.array([len(piece)]))
+        byte = np.concatenate(([0], np.flatnonzero(_letter_ends(piece)) + 1))  # where each letter begins
+        out, asked = [], []
+        for i, at, part in ends:
+            end = min(stop, at)
+            # A piece of this length is a run of one kind of letters; some of them tell how it goes on.
+            first, *others = WORDS.pattern.findall(self.whole[end - CONTEXT:at] + part)
+            q = int(byte[end - start])
+            if len(first) > CONTEXT:
+                asked.append((len(out), q, first[CONTEXT:].encode()))
+            out.append((i, before + int(states[0][q - 1]), others))
+        for j in range(0, len(asked), 10_000):
+            some = asked[j:j + 10_000]
+            found = counter.extended(piece, states, np.array([q for _, q, _ in some]), [t for *_, t in some])
+            for (n, _, _), tokens in zip(some, found.tolist()):
+                out[n] = (out[n][0], before + tokens, out[n][2])
         return out
 
 

@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import time
 import tracemalloc
+import unicodedata
 import zlib
 
 import numpy as np
@@ -152,3 +154,26 @@ def test_automaton_is_minimal_and_numbers_its_words(tmp_path):
     ids, counts = lexicon.encode(bpe, flat, lengths)
     plain, plain_counts = bpe.encode(flat, lengths)
     assert ids.tolist() == plain.tolist() and counts.tolist() == plain_counts.tolist()
+
+
+def test_prefixes_of_a_long_run_that_composes(libraries):
+    """40,000 decomposed kana in one run: linear in time, and far below 200 MB."""
+    counter, library = token_counts.PrefixCounter(Bpe(read(WORD))), libraries[WORD]
+    rng = random.Random(6)
+    kana = [chr(c) for c in range(0x304B, 0x3069)]
+    text = "".join(unicodedata.normalize("NFD", rng.choice(kana)) for _ in range(30_000))[:40_000]
+    assert len(text) == 40_000 and not unicodedata.is_normalized("NFC", text)
+    start = time.process_time()
+    got = token_counts.text_prefixes(counter, text)
+    assert time.process_time() - start < 15  # a few seconds where nothing else runs
+    for i in [*rng.sample(range(40_000), 12), 40_000]:
+        assert got[i] == len(library.encode(text[:i], add_special_tokens=False).ids)
+    tracemalloc.start()
+    token_counts.text_prefixes(counter, text[:4000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # a tenth of the text
+    for tail in ("'s", "!é'", "̣́x", "9"):
+        short = text[:300] + tail + text[:90]
+        assert [len(library.encode(short[:i], add_special_tokens=False).ids) for i in range(len(short) + 1)] == \
+            token_counts.text_prefixes(counter, short).tolist()
