@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohorta.catalog.profiling import mode_sql, rank_checked
 from cohorta.catalog.registry import query, rounded, with_views
 from cohorta.functions import log1p_columns as add_logs
+from cohorta.functions.scalar import vector_has_nan
 from cohorta.operators import cleaning
 from cohorta.operators.profiling import approx_quantiles
 
@@ -123,3 +124,28 @@ def standard_scale(t):
     scaled = cleaning.fit_scaling(df, ["l_quantity", "l_extendedprice", "five"], "z").transform(df)
     array = vector_to_array("z")
     return rounded(scaled.select(*KEYS, *[array[i].alias(f"f{i}") for i in range(3)]))
+
+
+@query("gate_vectors", with_views("fx_holes", """
+    select 'filled' as gate, true as passed, count(*) as "rows" from fx_holes
+    union all select 'with holes', false, count(*) from fx_holes where qty is null or price is null
+    union all select 'no rows', false, 0::bigint"""))
+def gate_vectors(t):
+    """The gates before scaling: vectors without NaN pass and are counted; NaN and no rows halt."""
+    assemble = cleaning.assembler(["qty", "price"], "v", on_invalid="keep")
+    whole = assemble.transform(t.fx_holes)
+    out = [("filled", True, cleaning.check_vectors(assemble.transform(cleaning.zero_filler(["qty", "price"]).transform(t.fx_holes)), "v"))]
+    for name, df in (("with holes", whole), ("no rows", whole.filter(F.col("v").isNull()))):
+        try:
+            out.append((name, True, cleaning.check_vectors(df, "v")))
+        except cleaning.QualityGateError:
+            out.append((name, False, df.filter(F.col("v").isNotNull() & vector_has_nan("v")).count()))
+    return t.spark.createDataFrame(out, "gate string, passed boolean, rows long")
+
+
+@query("log1p_if_absent", """
+    select event_id, round(ln(1 + value), 6) as log_value, round(value / 7, 6) as log_known from events""")
+def log1p_if_absent(t):
+    """A log column that is there already stays as it is."""
+    df = t.events.select("event_id", "value", (F.col("value") * 2).alias("known"), (F.col("value") / 7).alias("log_known"))
+    return rounded(add_logs(add_logs(df, ["value", "known"]), ["value"]).select("event_id", "log_value", "log_known"))

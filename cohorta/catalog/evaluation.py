@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cohorta.catalog.registry import query, rounded, with_views
+from cohorta.functions.scalar import positive_probability
 from cohorta.operators import evaluation as ev
+from cohorta.operators.modelling import evaluator_auc
 from cohorta.session import scratch_path
 from cohorta.sources.tables import read_roc, write_roc
 
@@ -130,6 +133,22 @@ def auc_exact(t):
     return rounded(ev.auc(t.fx_predictions))
 
 
+@query("auc_evaluator", with_views("fx_predictions", roc_ctes("fx_predictions", "probability") + """
+    select round(sum(dx * dy) / 2, 6) as auc from steps"""))
+def auc_evaluator(t):
+    """The same area by Spark's evaluator."""
+    scores = F.array(1 - F.col("probability"), F.col("probability"))
+    scored = t.fx_predictions.select("actual", array_to_vector(scores).alias("rawPrediction"))
+    return t.spark.createDataFrame([(round(evaluator_auc(scored, "actual"), 6),)], "auc double")
+
+
+@query("probability_element", with_views("fx_predictions", """
+    select l_orderkey, l_linenumber, round(probability, 6) as score from fx_predictions"""))
+def probability_element(t):
+    vectors = array_to_vector(F.array(1 - F.col("probability"), F.col("probability")))
+    return rounded(t.fx_predictions.select("l_orderkey", "l_linenumber", positive_probability(vectors).alias("score")))
+
+
 @query("model_comparison", with_views("fx_models", roc_ctes("fx_models", "score", "model") + f"""
     , basic as ({binary_sql("fx_models", "model")}),
     areas as (select model, round(sum(dx * dy) / 2, 6) as auc from steps group by model)
