@@ -271,3 +271,9 @@ def test_search_in_awkward_and_no_rows(spark):
     assert got == brute_ranking([(r["doc_id"], r["text"]) for r in docs.collect()], [tuple(r)[:2] for r in items.collect()])
     assert ranked_search.search(cases.nothing(spark), items).count() == 0
     assert ranked_search.search(docs, items.limit(0)).count() == 0
+
+
+@given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1), st.sampled_from([191, 192, 16063, 16064])), max_size=50))
+@settings(max_examples=100, deadline=None)
+def test_packed_numbers_come_back(numbers):
+    assert word_shuffle._numbers(word_shuffle._packed(np.array(numbers, np.int64)), len(numbers)).tolist() == numbers
