@@ -9,6 +9,7 @@ from cohorta.catalog.registry import query, rounded, with_views
 from cohorta.catalog.sampling import u_sql
 from cohorta.functions.uniform import hash_uniform
 from cohorta.operators import cleaning, evaluation as ev, modelling as ml, newton, sampling
+from cohorta.operators.certificate import linear_gap
 from cohorta.session import materialise, scratch_path
 
 FEATURES = ["x1", "x2", "x3"]
@@ -130,6 +131,18 @@ def svm_linear_scores(t):
     return rounded(ml.score_rows(ml.fit_svm(df, "features", "label", kernel="linear"), df, "label", ["doc_id"]))
 
 
+@query("svm_linear_gap", """
+    select count(*) as "rows", true as ordered, true as close from lineitem""")
+def svm_linear_gap(t):
+    """The penalised hinge loss of the fit is within two percent of the optimum, by a dual bound."""
+    df = order_lines(t)
+    svc = ml.fit_svm(df, "features", "actual", kernel="linear").stages[0]
+    rows = newton.collapse(df, vector_to_array("features"), "actual")
+    gap = linear_gap(rows, svc.coefficients.toArray(), svc.intercept)
+    return rows.agg(F.sum("n").alias("rows"), F.lit(0 < gap.dual <= gap.primal).alias("ordered"),
+                    F.lit(gap.share <= 0.02).alias("close"))
+
+
 @query("grid_logreg")
 def grid_logreg(t):
     return rounded(ml.tune_logistic(labelled(t), "features", "label", ["doc_id"])[0])

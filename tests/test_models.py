@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from cohorta.operators import cleaning, evaluation as ev, modelling as ml, newton
+from cohorta.operators.certificate import linear_gap
 
 
 def scored(spark, rows):
@@ -189,3 +190,25 @@ def test_newton_refuses_missing_values_and_takes_no_rows(spark):
     none = newton.collapse(spark.createDataFrame([], "x array<double>, y int"), F.col("x"), "y")
     assert np.allclose(newton.fit_all(none, [newton.Fit()], 2)[0], 0)
     assert newton.held_out_accuracy(none, [newton.Fit(left_out=1)], [np.zeros(3)]) == [None]
+
+
+def test_the_gap_of_a_linear_fit_holds(spark):
+    data = weighted_rows(n=600)
+    df = spark.createDataFrame(data, "id long, x array<double>, y int, fold int").repartition(3)
+    rows = newton.collapse(df, F.col("x"), "y")
+    x, sign = np.array([r[1] for r in data]), np.array([2.0 * r[2] - 1 for r in data])
+
+    def loss(w, b):
+        return 0.5 * w @ w + np.maximum(0, 1 - sign * (x @ w + b)).sum()
+
+    svc = ml.fit_svm(df.withColumn("features", array_to_vector("x")), "features", "y", kernel="linear").stages[0]
+    w, b = svc.coefficients.toArray(), svc.intercept
+    gap = linear_gap(rows, w, b)
+    assert gap.primal == pytest.approx(loss(w, b)) and 0 < gap.dual <= gap.primal and gap.share < 0.05
+    rng = np.random.default_rng(1)
+    for _ in range(200):  # nothing is below the bound
+        assert loss(w + rng.normal(size=3) * 0.1, b + rng.normal() * 0.1) >= gap.dual
+    poor = linear_gap(rows, np.zeros(3), 0.0)
+    assert poor.primal == pytest.approx(600) and poor.dual <= gap.primal and poor.share > gap.share
+    none = linear_gap(rows.limit(0), np.zeros(3), 0.0)
+    assert none.primal == none.dual == none.share == 0
