@@ -2,13 +2,14 @@
 
 Candidates come from prefixes in one global order of the n-grams. Sets that may be similar meet in
 groups, and there a set's overlaps with all others are derived from those of a similar set: only the
-lists of the n-grams in which the two differ are read. Lists are sorted by set size, so the parts
-whose sizes cannot match are skipped.
+lists of the n-grams in which the two differ are read. Lists are sorted by set size, and a search in
+them skips to the block of sets whose sizes can match.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +27,13 @@ travels(__name__)
 PERCENT = 80  # least similarity
 WORDS = 5
 GROUP_MEMBERS = 4096  # sets that meet in one task
+GROUP_GRAMS = 3_000_000  # n-grams that meet in one task, all sets together
 FREQUENT = 2_000_000  # an n-gram with at least this share (1 / FREQUENT) of all occurrences is frequent
 LEAST_FREQUENT = 32
 CHUNK = 2048  # documents whose n-grams travel together
 BUCKET_TOKENS = 2_000_000  # prefix n-grams that meet in one task
 
+PARTS = 4  # a bucket's lists are sorted in so many parts, one after another
 BLOCK_BYTES = 1_000_000  # texts hashed together
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -137,21 +140,29 @@ def in_order(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 class Members:
-    """Sets that may be similar, sorted by size, with an index of their n-grams."""
+    """Sets that may be similar, sorted by size, with an index of their n-grams.
+
+    A list's entries are numbers ``list * members + member``, all lists in one sorted array: the
+    entries of a list between two members are found by search, and what lies outside is not read.
+    """
 
     def __init__(self, ids: np.ndarray, sets: list[np.ndarray], percent: int):
         sizes = np.array([len(s) for s in sets], np.int64)
         order = np.lexsort((ids, sizes))
-        self.ids, self.sizes, self.sets = ids[order], sizes[order], [sets[i] for i in order]
-        self.percent = percent
-        flat = np.concatenate(self.sets)
-        owner = np.repeat(np.arange(len(order)), self.sizes)
+        self.ids, self.sizes, self.percent = ids[order], sizes[order], percent
+        flat = np.concatenate([sets[i] for i in order])
         by = np.argsort(flat, kind="stable")  # inside a list: by size
-        flat, self.posts = flat[by], owner[by]
-        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
-        self.tokens, self.list_starts = flat[first], first
-        self.list_ends = np.append(first[1:], len(flat))
-        self.numbers = [np.searchsorted(self.tokens, s) for s in self.sets]
+        flat = flat[by]
+        new = np.ones(len(flat), bool)
+        new[1:] = flat[1:] != flat[:-1]
+        del flat
+        lists = np.cumsum(new) - 1
+        numbers = np.empty(len(by), np.int32)
+        numbers[by] = lists
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.numbers = numbers  # the lists of member i: numbers[starts[i] : starts[i + 1]]
+        self.entries = lists * len(order) + np.repeat(np.arange(len(order)), self.sizes)[by]
+        self.read = 0  # entries read so far
 
     def window(self, i: int) -> tuple[int, int]:
         """Members whose size allows similarity with member i."""
@@ -159,27 +170,60 @@ class Members:
         return (int(np.searchsorted(self.sizes, -(-n * self.percent // 100))),
                 int(np.searchsorted(self.sizes, n * 100 // self.percent, "right")))
 
-    def _lists(self, numbers: np.ndarray) -> np.ndarray:
-        return ragged(self.posts, self.list_starts[numbers], self.list_ends[numbers] - self.list_starts[numbers])
-
-    def overlaps(self, i: int) -> np.ndarray:
-        """Shared n-grams of member i with every member, counted over the lists of its n-grams."""
-        return np.bincount(self._lists(self.numbers[i]), minlength=len(self.ids))
+    def lists_of(self, i: int) -> np.ndarray:
+        return self.numbers[self.starts[i]:self.starts[i + 1]].astype(np.int64)
+
+    def count(self, lists: np.ndarray, low: int, high: int) -> np.ndarray:
+        """In how many of the lists each member from ``low`` to ``high`` is."""
+        if high <= low or not len(lists):
+            return np.zeros(max(high - low, 0), np.int64)
+        first = np.searchsorted(self.entries, lists * len(self.ids) + low)
+        last = np.searchsorted(self.entries, lists * len(self.ids) + high)
+        found = ragged(self.entries, first, last - first) - np.repeat(lists * len(self.ids) + low, last - first)
+        self.read += len(found)
+        return np.bincount(found, minlength=high - low)
+
+    def overlaps(self, i: int) -> tuple[int, np.ndarray]:
+        """The first member of i's window and the shared n-grams of i with the members of the window."""
+        low, high = self.window(i)
+        return low, self.count(self.lists_of(i), low, high)
 
-    def derived(self, i: int, j: int, of_j: np.ndarray) -> np.ndarray:
-        """The same from those of member j: only lists of n-grams in one of the two sets are read."""
-        more = np.setdiff1d(self.numbers[i], self.numbers[j], assume_unique=True)
-        less = np.setdiff1d(self.numbers[j], self.numbers[i], assume_unique=True)
-        return (of_j + np.bincount(self._lists(more), minlength=len(self.ids))
-                - np.bincount(self._lists(less), minlength=len(self.ids)))
+    def derived(self, i: int, j: int, of_j: tuple[int, np.ndarray]) -> tuple[int, np.ndarray]:
+        """The same from those of member j.
 
-    def similar(self, i: int, shared: np.ndarray) -> np.ndarray:
+        Inside j's window only lists of n-grams in one of the two sets are read; what i's window has
+        beyond it is counted over i's lists.
+        """
         low, high = self.window(i)
-        part = shared[low:high]
-        near = (100 + self.percent) * part >= self.percent * (self.sizes[i] + self.sizes[low:high])
+        mine, its = self.lists_of(i), self.lists_of(j)
+        start, stop = max(low, of_j[0]), min(high, of_j[0] + len(of_j[1]))
+        if stop <= start:
+            return low, self.count(mine, low, high)
+        both = (of_j[1][start - of_j[0]:stop - of_j[0]]
+                + self.count(np.setdiff1d(mine, its, assume_unique=True), start, stop)
+                - self.count(np.setdiff1d(its, mine, assume_unique=True), start, stop))
+        return low, np.concatenate((self.count(mine, low, start), both, self.count(mine, stop, high)))
+
+    def similar(self, i: int, shared: tuple[int, np.ndarray]) -> np.ndarray:
+        low, part = shared
+        near = (100 + self.percent) * part >= self.percent * (self.sizes[i] + self.sizes[low:low + len(part)])
         near &= part > 0
         return low + np.flatnonzero(near)
 
+    def _hopeless(self, i: int, j: int, of_j: tuple[int, np.ndarray], label: np.ndarray) -> bool:
+        """No member without a class can be similar to i: its overlap with i is at most that with j and
+        the n-grams that i has and j has not."""
+        low, high = self.window(i)
+        outside = low + np.flatnonzero(label[low:high] < 0)
+        if not len(outside):
+            return True
+        start, shared = of_j
+        new = int(self.sizes[i] - shared[i - start])
+        bound = np.minimum(self.sizes[outside], self.sizes[i])
+        known = (outside >= start) & (outside < start + len(shared))
+        bound[known] = np.minimum(bound[known], shared[outside[known] - start] + new)
+        return not ((100 + self.percent) * bound >= self.percent * (self.sizes[i] + self.sizes[outside])).any()
+
     def classes(self) -> np.ndarray:
         """The class of each member (its smallest member's place): links of all pairs are followed."""
         n = len(self.ids)
@@ -193,13 +237,7 @@ class Members:
             label[[x for x, _, _ in todo]] = leader
             while todo:
                 i, j, of_j = todo.pop()
-                outside = np.flatnonzero(label < 0)
-                if not len(outside):
-                    break
-                # i's overlap with z is at most j's and the n-grams that i has and j has not.
-                new = int(self.sizes[i] - of_j[i])
-                bound = np.minimum(of_j[outside] + new, np.minimum(self.sizes[outside], self.sizes[i]))
-                if not ((100 + self.percent) * bound >= self.percent * (self.sizes[i] + self.sizes[outside])).any():
+                if self._hopeless(i, j, of_j, label):
                     continue
                 shared = self.derived(i, j, of_j)
                 for x in self.similar(i, shared):
@@ -209,8 +247,8 @@ class Members:
         return label
 
 
-def _sets_of(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b, np.uint64) for b in column.to_pylist()]
+def _sets_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(b, np.uint64) for b in _buffers(column)]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -250,7 +288,7 @@ def frequent_shingles(chunks: DataFrame, occurrences: int) -> np.ndarray:
     """
     least = max(LEAST_FREQUENT, -(-occurrences // FREQUENT))
     counted = chunks.groupBy("doc_id").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("doc_id")
-    return np.sort(np.array([r[0] for r in counted.collect()], np.int64).view(np.uint64))
+    return np.sort(counted.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -294,7 +332,8 @@ def _prefix_blobs(docs: DataFrame, id_col: str, text_col: str, words: int, perce
                 rows = []
                 for t, o in zip(np.split(tokens, cuts), np.split(owner, cuts)):
                     used, o = np.unique(o, return_inverse=True)
-                    rows.append((t.tobytes(), o.astype("<u2").tobytes(), documents[used].tobytes()))
+                    rows.append((t.tobytes(), o.astype("<u2").tobytes(),
+                                 documents[used, 0].tobytes() + documents[used, 1].astype("<i4").tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers), *[pa.array(c, pa.binary()) for c in zip(*rows)]],
                     names=["bucket", "tokens", "owner", "documents"])
@@ -302,6 +341,11 @@ def _prefix_blobs(docs: DataFrame, id_col: str, text_col: str, words: int, perce
     return _texts(docs, id_col, text_col).mapInArrow(run, "bucket long, tokens binary, owner binary, documents binary")
 
 
+def _buffers(column: pa.ChunkedArray) -> Iterator[memoryview]:
+    """The values of a binary column without copies."""
+    return (value.as_buffer() for chunk in column.chunks for value in chunk)
+
+
 def _linked(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Of entries sorted by n-gram and set size: whether one may be similar to the one before it.
 
@@ -318,19 +362,24 @@ def _shared_lists(blobs: DataFrame, percent: int, frequent: np.ndarray) -> DataF
     shared = blobs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(table: pa.Table) -> pa.Table:
-        tokens, ids, sizes = [], [], []
-        for t, o, d in zip(*[table.column(c).to_pylist() for c in ("tokens", "owner", "documents")]):
-            documents, owner = np.frombuffer(d, np.int64).reshape(-1, 2), np.frombuffer(o, "<u2")
-            tokens.append(np.frombuffer(t, np.uint64))
-            ids.append(documents[owner, 0])
-            sizes.append(documents[owner, 1])
-        tokens, ids, sizes = np.concatenate(tokens), np.concatenate(ids), np.concatenate(sizes)
-        order = np.lexsort((sizes, tokens))
-        tokens, ids, sizes = tokens[order], ids[order], sizes[order]
-        linked = _linked(tokens, sizes, percent)
-        several = linked | np.append(linked[1:], False) | _is_frequent(tokens, shared.value)
-        return pa.table({"token": pa.array(tokens[several].view(np.int64)), "doc_id": pa.array(ids[several]),
-                         "size": pa.array(sizes[several])})
+        parts = []
+        for part in range(PARTS):  # by other bits than those of the bucket
+            tokens, ids, sizes = [], [], []
+            for t, o, d in zip(*[_buffers(table.column(c)) for c in ("tokens", "owner", "documents")]):
+                n = len(d) // 12
+                t, owner = np.frombuffer(t, np.uint64), np.frombuffer(o, "<u2")
+                chosen = np.flatnonzero(t % np.uint64(PARTS) == part)
+                tokens.append(t[chosen])
+                ids.append(np.frombuffer(d, np.int64, n)[owner[chosen]])
+                sizes.append(np.frombuffer(d, "<i4", n, 8 * n)[owner[chosen]])
+            tokens, ids, sizes = np.concatenate(tokens), np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
+            order = np.lexsort((sizes, tokens))
+            tokens, ids, sizes = tokens[order], ids[order], sizes[order]
+            linked = _linked(tokens, sizes, percent)
+            several = linked | np.append(linked[1:], False) | _is_frequent(tokens, shared.value)
+            parts.append(pa.table({"token": pa.array(tokens[several].view(np.int64)), "doc_id": pa.array(ids[several]),
+                                   "size": pa.array(sizes[several])}))
+        return pa.concat_tables(parts)
 
     return blobs.groupBy("bucket").applyInArrow(run, "token long, doc_id long, size long")
 
@@ -414,59 +463,104 @@ def _forest(table: pa.Table, percent: int, part: str) -> pa.Table:
     return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
 
+def _block_forest(table: pa.Table, percent: int) -> pa.Table:
+    """The forest of one block, and with the first member of the largest class its set."""
+    found = _forest(table, percent, "part")
+    roots, n = np.unique(found.column("b").to_numpy(), return_counts=True)
+    leader = int(roots[np.argmax(n)])
+    at = int(np.flatnonzero(table.column("doc_id").to_numpy() == leader)[0])
+    first = np.flatnonzero(found.column("a").to_numpy() == leader)[0]
+    sets = [None] * len(found)
+    sets[first] = table.column("s")[at].as_py()
+    names = {c: pa.array(np.full(len(found), table.column(c)[0].as_py())) for c in _BLOCK}
+    return pa.table(names | {"a": found.column("a"), "b": found.column("b"), "s": pa.array(sets, pa.binary())})
+
+
 def _cross_edges(table: pa.Table, percent: int) -> pa.Table:
-    """Edges between the outsiders of a group and its other members in one task."""
-    ids, sets, outer = table.column("doc_id").to_numpy(), _sets_of(table.column("s")), table.column("outer").to_numpy()
+    """Edges between two blocks of a group (column ``side``), but for those between insiders."""
+    ids, sets = table.column("doc_id").to_numpy(), _sets_of(table.column("s"))
+    outer, side = table.column("outer").to_numpy(), table.column("side").to_numpy()
     members = Members(ids, sets, percent)
-    asks = set(ids[outer].tolist())
+    insiders = bool((~outer & (side == 0)).any())
+    asks = set(ids[outer & ((side == 0) | insiders)].tolist())
     a, b = [], []
     for i in range(len(members.ids)):
         if int(members.ids[i]) in asks:
-            near = members.similar(i, members.overlaps(i))
+            near = members.similar(i, members.overlaps(i))  # skips to the block of i's sizes in each list
             a += [int(members.ids[i])] * len(near)
             b += members.ids[near].tolist()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _large_groups(sets: DataFrame, percent: int, most: int) -> DataFrame:
-    """All links' forest in groups of more than ``most`` sets: part, doc_id, s, size.
+_BLOCK = ["part", "class", "sub"]
+
+
+def _placed(members: DataFrame, percent: int, most: int, grams: int) -> DataFrame:
+    """The block of each set: doc_id, size, part, class, sub. A block has about ``most`` sets or
+    ``grams`` n-grams, whichever is reached first.
+
+    A group that is small enough is one block (class -1). Others are cut by size classes, so that
+    only sets of the same class or of neighbouring ones can be similar, and a class by hashes.
+    """
+    def number(by: list[str], name: str) -> DataFrame:
+        return members.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("grams")).select(
+            *by, F.ceil(F.greatest(F.col("n") / most, F.col("grams") / grams)).cast("long").alias(name))
+
+    step = math.log(100 / percent) * (1 + 1e-9)
+    members = members.withColumn("class", F.floor(F.log("size") / F.lit(step)).cast("long"))
+    sized = members.join(number(["part"], "blocks"), "part").join(number(["part", "class"], "subs"), ["part", "class"])
+    large = F.col("blocks") > 1
+    return sized.select("doc_id", "size", "part", F.when(large, F.col("class")).otherwise(-1).alias("class"),
+                        F.when(large, F.pmod(F.xxhash64("doc_id"), "subs")).otherwise(0).alias("sub")).distinct()
+
+
+def _large_groups(sets: DataFrame, percent: int) -> DataFrame:
+    """All links' forest in groups of several blocks: part, class, sub, doc_id, s.
 
-    Blocks of a group are resolved side by side, then their classes' first members with each other.
-    Sets that are still outside their group's largest class meet every block of the group.
+    Blocks are resolved side by side, then the first members of their largest classes with each
+    other. Sets that are still outside their group's largest class meet the blocks of their own and of
+    the neighbouring size classes.
     """
-    blocks = materialise(sets.withColumn("blocks", F.ceil(F.col("size") / most).cast("long"))
-                         .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")))
-    inside = blocks.groupBy("part", "block").applyInArrow(lambda t: _forest(t, percent, "block"), "a long, b long")
-    inside = materialise(inside)
-    leaders = blocks.join(inside.select(F.col("b").alias("doc_id")).distinct(), "doc_id")
-    few = leaders.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= most).select("part")
-    between = leaders.join(few, "part").groupBy("part").applyInArrow(lambda t: _forest(t, percent, "part"), "a long, b long")
-    first = materialise(inside.unionByName(between))
+    inside = materialise(sets.groupBy(*_BLOCK).applyInArrow(
+        lambda t: _block_forest(t, percent), "part long, class long, sub long, a long, b long, s binary"))
+    leaders = inside.filter("s is not null").select("part", F.col("a").alias("doc_id"), "s")
+    between = leaders.groupBy("part").applyInArrow(lambda t: _forest(t, percent, "part"), "a long, b long")
+    first = materialise(inside.select("a", "b").unionByName(between))
     label = components(first).select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
-    labelled = blocks.select("part", "doc_id").join(label, "doc_id", "left").withColumn(
+    labelled = inside.select(*_BLOCK, F.col("a").alias("doc_id")).distinct().join(label, "doc_id", "left").withColumn(
         "label", F.coalesce("label", "doc_id"))
-    sizes = labelled.groupBy("part", "label").agg(F.countDistinct("doc_id").alias("n"))
-    largest = sizes.groupBy("part").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    outsiders = labelled.join(largest, "part").filter("label <> main").select("doc_id").distinct()
-    out = materialise(blocks.join(outsiders, "doc_id").withColumn("slice", F.pmod(F.xxhash64("doc_id", F.lit(1)), "blocks")))
-    slices = out.select("part", "slice").distinct()
-    inner = blocks.join(slices, "part").select("part", "block", "slice", "doc_id", "s", F.lit(False).alias("outer"))
-    outer = out.select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "slice",
-                       "doc_id", "s", F.lit(True).alias("outer"))
-    across = inner.unionByName(outer).groupBy("part", "block", "slice").applyInArrow(
-        lambda t: _cross_edges(t, percent), "a long, b long")
+    largest = (labelled.groupBy("part", "label").agg(F.countDistinct("doc_id").alias("n"))
+               .groupBy("part").agg(F.max_by("label", F.struct("n", "label")).alias("main")))
+    marked = materialise(labelled.join(largest, "part").select(*_BLOCK, "doc_id", (F.col("label") != F.col("main")).alias("outer")))
+    blocks = materialise(marked.groupBy(*_BLOCK).agg(F.max("outer").alias("some")))
+    # Pairs of blocks, the one of the smaller (class, sub) first; two blocks of insiders need not meet.
+    x = blocks.select("part", F.explode(F.array("class", F.col("class") + 1)).alias("class"),
+                      F.col("class").alias("x_class"), F.col("sub").alias("x_sub"), F.col("some").alias("x_some"))
+    pairs = (x.join(blocks, ["part", "class"]).filter((F.col("some") | F.col("x_some")) & (
+        (F.col("x_class") < F.col("class")) | (F.col("x_sub") < F.col("sub"))))
+        .select("part", "x_class", "x_sub", F.col("class").alias("y_class"), F.col("sub").alias("y_sub")))
+    sides = pairs.select("part", F.struct("x_class", "x_sub", "y_class", "y_sub").alias("pair"), F.explode(F.array(
+        F.struct(F.col("x_class").alias("class"), F.col("x_sub").alias("sub"), F.lit(0).alias("side")),
+        F.struct(F.col("y_class").alias("class"), F.col("y_sub").alias("sub"), F.lit(1).alias("side")))).alias("e")).select(
+        "part", "pair", "e.*")
+    routes = marked.join(sides, _BLOCK).groupBy(*_BLOCK, "doc_id").agg(
+        F.collect_list(F.struct("pair", "side", "outer")).alias("routes"))
+    across = (sets.join(routes, [*_BLOCK, "doc_id"]).select("part", "doc_id", "s", F.explode("routes").alias("r"))
+              .select("part", "r.*", "doc_id", "s")
+              .groupBy("part", "pair").applyInArrow(lambda t: _cross_edges(t, percent), "a long, b long"))
     return first.unionByName(across)
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    percent: int = PERCENT, most: int = GROUP_MEMBERS) -> DataFrame:
+                    percent: int = PERCENT, most: int = GROUP_MEMBERS, grams: int = GROUP_GRAMS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links).
 
     Two documents link when their sets' similarity is at least ``percent``; equal sets, empty ones
     apart, always do. Null and empty texts have an empty set and link with nothing, as do rows
     without an id (their component is null). Rows that repeat an id are one document: what any of
     them links with, it links with. An empty table gives no rows. No pair is left out: prefixes are
-    long enough for every similar pair, and groups of any size are resolved in parts of bounded size.
+    long enough for every similar pair, and groups of any size are resolved in blocks of about ``most``
+    sets or ``grams`` n-grams, whichever is less; a single longer set is a block of its own size.
     """
     known = docs.filter(docs[id_col].isNotNull())
     read = materialise(_first_pass(docs, id_col, text_col, words))
@@ -485,30 +579,37 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = materialise(lists.join(possible, ["doc_id", "size"]).select("token", "doc_id", "size"))
     release(docs.sparkSession)
     groups = materialise(components(_group_edges(left, percent, frequent, buckets)))
-    sizes = groups.groupBy(F.col("component").alias("part")).agg(F.count(F.lit(1)).alias("size"))
-    members = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("part")).join(sizes, "part")
-    members = materialise(members)
+    members = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("part")).join(
+        left.select("doc_id", "size").distinct(), "doc_id")
+    members = materialise(_placed(members, percent, most, grams))
     release(docs.sparkSession)
     texts = _texts(known, id_col, text_col)
-    sets = materialise(_with_sets(texts.join(members, "doc_id"), ["part", "doc_id", "size"], words))
+    # An id with several texts meets the rows of each; the one of the row's size is meant.
+    sets = materialise(_with_sets(texts.join(members, "doc_id"), ["doc_id", "size", *_BLOCK], words)
+                       .filter(F.octet_length("s") == 8 * F.col("size")))
     release(docs.sparkSession)
-    edges = _edges(sets, percent, most)
-    classes = components(edges).select(F.col("node").alias("rep"), "component")
+    bins, several = members.agg(F.coalesce(F.floor(F.sum("size") / grams), F.lit(0)).cast("long") + 1,
+                                F.max(F.col("class") >= 0)).first()
+    edges = _edges(sets, percent, bins, bool(several))
 
     # Written first, so that the join by itself can be split where very many sets are equal.
-    reps = materialise(table.filter("doc_id is not null and set_key is not null")
-                       .groupBy("set_key").agg(F.min("doc_id").alias("rep")))
+    known_sets = table.filter("doc_id is not null and set_key is not null")
+    reps = materialise(known_sets.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
+    # An id with several sets ties their classes.
+    several = known_sets.groupBy("doc_id").agg(F.min("set_key").alias("k"), F.max("set_key").alias("m")).filter("k <> m")
+    its_sets = known_sets.join(several.select("doc_id"), "doc_id").join(reps, "set_key").select("doc_id", "rep").distinct()
+    centre = its_sets.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    edges = edges.unionByName(its_sets.join(centre, "doc_id").select(F.col("rep").alias("a"), "b"))
+    classes = components(edges).select(F.col("node").alias("rep"), "component")
     found = (table.join(reps, "set_key", "left").join(classes, "rep", "left")
              .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
     return found
 
 
-def _edges(sets: DataFrame, percent: int, most: int) -> DataFrame:
-    members = sets.count()
-    small = sets.filter(F.col("size") <= most).withColumn(
-        "bin", F.pmod(F.xxhash64("part"), F.lit(max(members // 1000, 1))))
+def _edges(sets: DataFrame, percent: int, bins: int, several: bool) -> DataFrame:
+    """Links' forest of all groups. Those of one block meet in bins, filled by their n-grams."""
+    small = sets.filter("class < 0").withColumn("bin", F.pmod(F.xxhash64("part"), F.lit(bins)))
     edges = small.groupBy("bin").applyInArrow(lambda t: _forest(t, percent, "part"), "a long, b long")
-    large = sets.filter(F.col("size") > most)
-    if large.limit(1).count():
-        edges = edges.unionByName(_large_groups(large, percent, most))
+    if several:
+        edges = edges.unionByName(_large_groups(sets.filter("class >= 0"), percent))
     return edges

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -171,7 +172,62 @@ def test_overlaps_derived_from_a_similar_set():
     members = jaccard_join.Members(np.arange(20), sets, 80)
     for i in range(20):
         for j in range(0, 20, 7):
-            assert (members.derived(i, j, members.overlaps(j)) == members.overlaps(i)).all()
+            (low, got), (start, expected) = members.derived(i, j, members.overlaps(j)), members.overlaps(i)
+            assert low == start and (got == expected).all()
+
+
+def test_lists_are_read_in_the_window_of_sizes_only():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**60, 2000).astype(np.uint64)
+    sets = [np.unique(base[:n]) for n in range(20, 2000, 20)]  # sizes far apart, all share n-grams
+    members = jaccard_join.Members(np.arange(len(sets)), sets, 80)
+    label = members.classes()
+    whole = jaccard_join.Members(np.arange(len(sets)), sets, 80)
+    for i in range(len(sets)):
+        whole.count(whole.lists_of(i), 0, len(sets))
+    assert members.read * 2 < whole.read
+    expected = list(range(len(sets)))
+    for i in range(1, len(sets)):
+        if 100 * len(sets[i - 1]) >= 80 * len(sets[i]):
+            expected[i] = expected[i - 1]
+    assert label.tolist() == expected
+    for i, j in ((60, 55), (60, 90), (98, 0), (10, 11)):  # also beyond the other's window
+        (low, got), (start, direct) = members.derived(i, j, members.overlaps(j)), members.overlaps(i)
+        assert low == start and (got == direct).all()
+
+
+def test_an_id_with_several_texts_is_one_document(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, "other words than those of all the rest")]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.similar_classes(docs).collect())
+        assert got == [(3, 3), (5, 3), (5, 3), (7, 3), (9, 9)]
+
+
+def test_blocks_measured_by_shingles(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(60):
+        words[rng.randrange(400)] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for grams in (1000, 5000):
+        assert {tuple(r) for r in jaccard_join.similar_classes(docs, grams=grams).collect()} == brute_classes(rows)
+
+
+def test_memory_of_near_copies_of_long_texts():
+    """200 sets of 20,000 n-grams: 32 MB of n-grams, at most 8 times that while they are compared."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**60, 20_000).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(20_000) > 0.01], rng.integers(0, 2**60, 200).astype(np.uint64))))
+            for _ in range(200)]
+    tracemalloc.start()
+    label = jaccard_join.Members(np.arange(200), sets, 80).classes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (label == 0).all() and peak < 256e6
 
 
 def brute_repeats(rows):
