@@ -17,7 +17,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -403,7 +402,7 @@ def _compare(table: pa.Table, groups: int) -> pa.Table:
 KEPT = "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary"
 
 
-def _cut(texts: pa.Table, spans: pa.Table, with_bytes: bool) -> pa.Table:
+def _cut(texts: pa.Table, spans: pa.Table, with_bytes: bool, whole_characters: bool) -> pa.Table:
     marked = joined(_records(spans.column("data"), _SPAN)) if len(spans) else np.zeros(0, _SPAN)
     by: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for doc, key, a, b in marked.tolist():
@@ -413,6 +412,8 @@ def _cut(texts: pa.Table, spans: pa.Table, with_bytes: bool) -> pa.Table:
         found = by.get((doc, text_key(data)), ()) if by else ()
         edges = [0, *[x for span in found for x in span], len(data)]
         kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        if whole_characters and found:
+            kept = kept.decode("utf-8", "ignore").encode()
         rows.append((doc, len(data), [a for a, _ in found], [b for _, b in found],
                      kept if with_bytes else hashlib.sha256(kept).digest()))
     columns = list(zip(*rows)) or [()] * 5
@@ -422,12 +423,13 @@ def _cut(texts: pa.Table, spans: pa.Table, with_bytes: bool) -> pa.Table:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True,
                    batches: int = BATCHES, earlier: DataFrame | None = None, index: str | None = None,
-                   index_out: str | None = None) -> DataFrame:
+                   index_out: str | None = None, whole_characters: bool = False) -> DataFrame:
     """One row per input row with an id: its bytes, the removed spans and the kept bytes.
 
     A byte goes if it is covered by ``LENGTH`` bytes that also start earlier: in a document of a
     smaller id, or earlier in the same one. Strings are judged on the input. ``kept`` is the kept
-    bytes joined, or their SHA-256 without ``with_bytes``. Null and empty texts and those below
+    bytes joined, or their SHA-256 without ``with_bytes``; with ``whole_characters`` what is left of a
+    character of which some bytes were cut goes as well, so that they are a text again. Null and empty texts and those below
     ``LENGTH`` bytes stay whole. Rows that repeat an id do not count as earlier than one another.
     Rows without an id take no part and are not returned; an empty table gives no rows.
 
@@ -461,13 +463,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
     spans = scanned.filter(F.col("kind") == _SPANS).unionByName(compared)
     return new.groupBy("target").cogroup(spans.groupBy("target")).applyInArrow(
-        lambda t, s: _cut(t, s, with_bytes), KEPT)
-
-
-def whole_characters(kept):
-    """Bytes as text, without what is left of characters of which some bytes were cut."""
-    @F.pandas_udf("string")
-    def text(data: pd.Series) -> pd.Series:
-        return data.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return text(kept)
+        lambda t, s: _cut(t, s, with_bytes, whole_characters), KEPT)
