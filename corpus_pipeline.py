@@ -1,6 +1,7 @@
 """The corpus pipeline: documents to packed sequences, each stage on all that the one before kept.
 
-Documents without an id leave at the first stage; null texts count as empty everywhere.
+Null texts count as empty everywhere. Documents without an id are judged, searched for secrets and
+packed like all others; as they have no place among the others, they are no one's copy.
 """
 
 from __future__ import annotations
@@ -20,8 +21,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose pairwise quality score reaches the threshold."""
     tune(spark)
-    docs = docs.select(*COLUMNS).filter("doc_id is not null")
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
+
+
+def _nameless(docs: DataFrame) -> DataFrame:
+    return docs.filter("doc_id is null").select(*COLUMNS)
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +33,7 @@ def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tune(spark)
     classes = jaccard_join.similar_classes(docs)
     first = classes.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
+    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS).unionByName(_nameless(docs))
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,12 +42,12 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A character of which only some bytes are cut goes whole.
     """
     tune(spark)
-    cut = suffix_levels.remove_repeats(docs).filter((F.octet_length("kept") > 0) | (F.col("n_bytes") == 0))
-    rest = docs.groupBy("doc_id").agg(F.first("lang").alias("lang"), F.first("source").alias("source"))
-    text = F.when(F.size("starts") == 0, F.col("kept").cast("string")).otherwise(
-        suffix_levels.whole_characters(F.col("kept")))
-    return (cut.select("doc_id", text.alias("text")).join(rest, "doc_id")
-            .select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")))
+    cut = suffix_levels.remove_repeats(docs, whole_characters=True).filter(
+        (F.octet_length("kept") > 0) | (F.col("n_bytes") == 0))
+    rest = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.first("lang").alias("lang"), F.first("source").alias("source"))
+    return (cut.select("doc_id", F.col("kept").cast("string").alias("text")).join(rest, "doc_id")
+            .select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+            .unionByName(_nameless(docs)))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
