@@ -2,7 +2,9 @@
 
 Any dual point bounds the optimum from below. Many feasible ones are read off the margins of the
 given weights in one pass, and the best combination of them is found on the driver: combinations of
-feasible points are feasible. The bound holds for whatever solver made the weights.
+feasible points are feasible. The bound holds for whatever solver made the weights. It is tight where margins
+are spread out; where many rows share a few margins, weights that are a little off the optimum can
+leave it far below.
 """
 
 from __future__ import annotations
