@@ -104,6 +104,16 @@ def test_binned_density_is_near_the_exact_one(spark, tail):
     assert [p for p, _, _ in got] == list(range(400)) and np.abs(found - exact).max() <= 0.005 * exact.max()
 
 
+def test_density_sums_the_kernel_of_every_value(spark):
+    """Also where the values are few and the range is many thousand bandwidths wide."""
+    values = np.append(np.random.default_rng(5).normal(size=500), [30.0, 1e6])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    got = sorted((r["point"], r["x"], r["density"]) for r in ex.density(df, ["v"], points=50).collect())
+    h = values.std(ddof=1) * len(values) ** -0.2
+    exact = [np.exp(-0.5 * ((values - x) / h) ** 2).sum() / (len(values) * h * math.sqrt(2 * math.pi)) for _, x, _ in got]
+    assert [d for _, _, d in got] == pytest.approx(exact, rel=1e-7, abs=1e-9 * max(exact))
+
+
 def test_bins_are_bounded_and_count_all_rows(spark):
     df = spark.createDataFrame([(float(i % 97), float(i)) for i in range(5000)] + [(1e9, 1.0)], "far double, near double")
     summary = ex.summarise(df, ["far", "near"])
