@@ -8,8 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohorta.operators import evaluation as ev, exploration as ex, gram, sketches
+from cohorta.operators import evaluation as ev, exploration as ex, gram, relational as rel, sketches
 from cohorta.operators.ranking import running_totals
+from cohorta.session import tune_tables
 
 
 def off_by(values, found, p):
@@ -148,3 +149,30 @@ def test_nan_spoils_its_pairs_only(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, float("nan"), 1.0), (4.0, 5.0, 9.0)], "a double, b double, c double")
     sums = gram.pair_sums(df, ["a", "b", "c"])
     assert np.isnan(gram.correlations(sums)).tolist() == [[False, True, False], [True, True, True], [False, True, False]]
+
+
+def test_a_tasks_share_of_a_shuffle_is_bounded(spark):
+    """Few shuffle partitions asked for, much to group: adaptive execution still makes more, smaller ones."""
+    tune_tables(spark)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        diagnoses = spark.range(800_000).repartition(4).select(F.col("id").alias("subject_id"), F.xxhash64("id").alias("hadm_id"),
+                                                               F.lit("a").alias("icd9_code"))
+        placed = rel.comorbidity_count(diagnoses).select(F.spark_partition_id().alias("part"))
+        sizes = [r["count"] for r in placed.groupBy("part").count().collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert sum(sizes) == 800_000 and len(sizes) > 4 and max(sizes) < 800_000 / 4
+
+
+def test_a_callers_setting_stays(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "5m")
+    try:
+        assert tune_tables(spark).conf.get(key) == "5m"
+    finally:
+        spark.conf.set(key, old)
