@@ -2,12 +2,14 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.classification import LinearSVC
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from cohorta.operators import cleaning, evaluation as ev, modelling as ml, newton
+from cohorta.operators import cleaning, evaluation as ev, hinge, modelling as ml, newton
 from cohorta.operators.certificate import linear_gap
+from cohorta.operators.kernel import FourierFeatures
 
 
 def scored(spark, rows):
@@ -137,6 +139,59 @@ def test_grids_list_all_cells(cloud, monkeypatch):
     assert ml.score_rows(model, df, "y").count() == 800
 
 
+def circle(spark, n=600):
+    rng = np.random.default_rng(5)
+    x = rng.uniform(-1.5, 1.5, size=(n, 2))
+    rows = [(i, float(a), float(b), int(a * a + b * b < 1), i % 3) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int, fold int")
+    return cleaning.assembler(["a", "b"]).transform(df).cache()
+
+
+def test_machines_side_by_side_are_those_fitted_one_by_one(spark):
+    df = circle(spark)
+    fourier = FourierFeatures(inputCol="features", outputCol="f", gamma=0.7, inputs=2, size=30, seed=3)
+    rows = hinge.training_rows(df, vector_to_array("features"), "y", 2, "fold").cache()
+    fits = [hinge.Fit(k, p, fold) for k, p in ((0, 1e-1), (1, 1e-2)) for fold in (0, 2)]
+    weights = hinge.fit_all(rows, [hinge.Kernel(), fourier.kernel()], fits, 2, folds=3)
+    right = hinge.held_out_accuracy(rows, [hinge.Kernel(), fourier.kernel()], fits, weights)
+    wide = fourier.transform(df).cache()
+    for fit, found, share in zip(fits, weights, right):
+        model = LinearSVC(featuresCol="f" if fit.kernel else "features", labelCol="y", maxIter=100, tol=1e-3,
+                          standardization=False, regParam=fit.penalty).fit(wide.filter(F.col("fold") != fit.left_out))
+        assert found == pytest.approx(np.append(model.coefficients.toArray(), model.intercept), rel=1e-6, abs=1e-8)
+        held = model.transform(wide.filter(F.col("fold") == fit.left_out))
+        assert share == held.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
+
+
+def test_more_cells_and_folds_read_the_rows_no_more_often(spark, monkeypatch):
+    df, passes, stored = circle(spark), [], []
+    sums, keep = hinge._hinge_sums, ml.materialise
+    monkeypatch.setattr(hinge, "_hinge_sums", lambda rows, kernels, inputs, fits, w: (
+        passes.append(len(fits)), sums(rows, kernels, inputs, fits, w))[1])
+    monkeypatch.setattr(ml, "materialise", lambda d: (stored.append(d.columns), keep(d))[1])
+    monkeypatch.setattr(ml, "C_GRID", [0.1, 10.0])
+    ml.tune_svm(df, "features", "y", ["id"], folds=3, size=20, max_iter=4)
+    # Two C, three folds, three kernels; a step tries some lengths, and the last fit is one more.
+    assert max(passes) == 18 and len(passes) < 18 * 4
+    assert all(c == ["x", "y", "fold"] for c in stored)
+
+
+def test_a_stored_machine_scores_alike(spark, tmp_path):
+    df = circle(spark, 200)
+    model = ml.fit_svm(df, "features", "y", size=20, max_iter=5)
+    ml.save_model(model, str(tmp_path / "m"))
+    one, two = (ml.score_rows(m, df, "y", ["id"]).orderBy("id").collect()
+                for m in (model, ml.load_model(str(tmp_path / "m"))))
+    assert one == two and {r["prediction"] for r in one} == {0, 1}
+
+
+@pytest.mark.parametrize("label,x", [(2, 0.5), (None, 0.5), (1, float("nan")), (1, None)])
+def test_a_machine_refuses_what_is_no_label_or_number(spark, label, x):
+    df = spark.createDataFrame([([0.1], 0), ([0.7], 1), ([x], label)], "x array<double>, y int")
+    with pytest.raises(Exception, match="not 0 or 1 or a feature"):
+        hinge.training_rows(df, F.col("x"), "y", 1).collect()
+
+
 def weighted_rows(seed=8, n=1500):
     rng = np.random.default_rng(seed)
     x = np.round(rng.normal(size=(n, 3)) * [1, 2, 0.5], 1)
