@@ -117,6 +117,24 @@ def test_neighbours_through_two_levels_of_trees(spark, monkeypatch, dims):
     assert visits.agg(F.max("first")).first()[0] <= neighbours.FIRST_VISITS and visits.count() == 400
 
 
+@pytest.mark.parametrize("top_cells,block_rows", [(1000, 80), (5, 80), (40, 200)])
+def test_a_point_is_sent_once_to_a_block_of_cells(spark, monkeypatch, top_cells, block_rows):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block_rows)
+    x = np.round(np.random.default_rng(4).normal(size=(600, 6)), 3)
+    points = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vid long, x array<double>")
+    cells = neighbours.Cells(points, 600, 6, 10, top_cells)
+    asks = points.withColumns({"r2": F.lit(4.0), "seen": F.array().cast("array<long>")})
+    visits = cells.within(asks, None).cache()
+    sent = neighbours._by_block(visits, cells).cache()
+    assert sent.count() == sent.dropDuplicates(["vid", "block"]).count() < visits.agg(F.sum(F.size("cells"))).first()[0] / 3
+    flat = sent.select("vid", F.explode("cells").alias("cell"))
+    assert flat.exceptAll(visits.select("vid", F.explode("cells"))).count() == 0
+    assert flat.count() == visits.agg(F.sum(F.size("cells"))).first()[0]
+    held = neighbours._with_block(cells.place(points), cells).groupBy("block").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cell").alias("cells")).collect()
+    assert max(r["n"] for r in held) <= 4 * block_rows and len(held) >= 600 / (4 * block_rows)
+
+
 def test_bounds_hold_and_cut_off_leaves():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(2000, 5)) * [10, 5, 1, 0.5, 0.1]
