@@ -25,8 +25,8 @@ def labelled(t):
 def order_lines(t):
     """Features of every order line against its late-lines outcome."""
     df = t.fx_predictions.withColumn("line", F.col("l_linenumber").cast("double"))
-    return materialise(cleaning.assembler(["probability", "line"], "features").transform(df)
-                       .select("l_orderkey", "l_linenumber", "actual", "features"))
+    return (cleaning.assembler(["probability", "line"], "features").transform(df)
+            .select("l_orderkey", "l_linenumber", "actual", "features"))
 
 
 @query("linreg_fit", """

@@ -163,6 +163,26 @@ def test_machines_side_by_side_are_those_fitted_one_by_one(spark):
         assert share == held.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
 
 
+def test_copies_of_rows_are_read_as_one(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 12, size=(900, 2)) / 4.0
+    rows = [(i, float(a), float(b), int(a + 2 * b + rng.normal() > 4)) for i, (a, b) in enumerate(x)]
+    df = cleaning.assembler(["a", "b"]).transform(spark.createDataFrame(rows, "id long, a double, b double, y int")).cache()
+    read, sums = [], hinge._hinge_sums
+    monkeypatch.setattr(hinge, "_hinge_sums", lambda rows, *more: (read.append(rows.count()), sums(rows, *more))[1])
+    model = ml.fit_svm(df, "features", "y", kernel="linear", max_iter=20)
+    assert read and set(read) == {len({r[1:] for r in rows})}
+    svc = LinearSVC(featuresCol="features", labelCol="y", maxIter=20, tol=ml.SVM_TOL, standardization=False,
+                    regParam=ml.penalty_weight(1.0, 900)).fit(df)
+    found = model.stages[0]
+    assert [*found.coefficients.toArray(), found.intercept] == pytest.approx([*svc.coefficients.toArray(), svc.intercept], rel=1e-6)
+    ml.save_model(model, str(tmp_path / "m"))
+    one, two = (ml.score_rows(m, df, "y", ["id"]).orderBy("id").collect() for m in (model, ml.load_model(str(tmp_path / "m"))))
+    assert one == two
+    plain = {r["id"]: r["prediction"] for r in svc.transform(df).select("id", "prediction").collect()}
+    assert {r["id"]: r["prediction"] for r in one} == plain
+
+
 def test_more_cells_and_folds_read_the_rows_no_more_often(spark, monkeypatch):
     df, passes, stored = circle(spark), [], []
     sums, keep = hinge._hinge_sums, ml.materialise
