@@ -154,3 +154,23 @@ def sketch_quantiles(merged: DataFrame, probs: list[float]) -> DataFrame:
                                              names=["column", "prob", "value", "rank_error", "n"])
 
     return merged.mapInArrow(run, "column string, prob double, value double, rank_error long, n long")
+
+
+def sketch_brackets(merged: DataFrame, probs: list[float]) -> DataFrame:
+    """(column, prob, low, high, n) of merged sketches: the values on both sides of the sorted position
+    prob (n - 1) lie in [low, high], whatever the sketch's error; an end that it leaves open is infinite."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                one = Sketch.of(*[r[c] for c in ("n", "rank_error", "lowest", "highest", "data")])
+                error = one.rank_error + 1
+                for p in probs:
+                    first, last = np.floor(p * (one.n - 1)) + 1 - error, np.ceil(p * (one.n - 1)) + 1 + error
+                    rows.append((r["column"], p, one.quantile(first / one.n) if first > 0 else -np.inf,
+                                 one.quantile(last / one.n) if last <= one.n else np.inf, one.n))
+            kinds = [pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], k) for i, k in enumerate(kinds)],
+                                             names=["column", "prob", "low", "high", "n"])
+
+    return merged.mapInArrow(run, "column string, prob double, low double, high double, n long")

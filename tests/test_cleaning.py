@@ -176,6 +176,24 @@ def test_exact_quantiles_with_a_coarse_sketch_and_a_hot_value(spark, accuracy):
     assert exact_quantiles(df, ["x"], probs, accuracy)["x"] == pytest.approx(list(np.quantile(data, probs)))
 
 
+@pytest.mark.parametrize("size,n", [(4, 3000), (64, 20_000), (64, 50), (8, 1)])
+def test_brackets_of_merged_sketches_hold_the_positions(spark, monkeypatch, size, n):
+    import numpy as np
+    from cohorta.operators import sketches
+    monkeypatch.setattr(sketches, "MERGED_TOGETHER", 3)
+    data = np.random.default_rng(n).normal(size=n).round(2)
+    df = spark.createDataFrame([(float(v), None) for v in data], "x double, y double").repartition(11)
+    merged = sketches.merge_sketches(sketches.sketch_columns(df, ["x", "y"], size))
+    found = sketches.sketch_brackets(merged, [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]).collect()
+    assert len(found) == 6 and {r["column"] for r in found} == {"x"} and {r["n"] for r in found} == {n}
+    ordered = np.sort(data)
+    for r in found:
+        at = r["prob"] * (n - 1)
+        assert r["low"] <= ordered[int(np.floor(at))] <= ordered[int(np.ceil(at))] <= r["high"]
+    if size == 64:  # and they are narrow
+        assert all(np.searchsorted(ordered, r["high"], "right") - np.searchsorted(ordered, r["low"]) < 0.3 * n + 60 for r in found)
+
+
 def test_column_pickers(spark):
     df = frame(spark, [(i, i % 2, i % 5, float(i), "t") for i in range(40)],
                "subject_id long, flag int, grade int, x double, s string")
