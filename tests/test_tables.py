@@ -168,6 +168,22 @@ def test_a_tasks_share_of_a_shuffle_is_bounded(spark):
     assert sum(sizes) == 800_000 and len(sizes) > 4 and max(sizes) < 800_000 / 4
 
 
+def test_a_growing_table_is_not_broadcast(spark):
+    """Patients, admissions and stays of a few MB: no task holds a whole one of them."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.unset(key)
+    tune_tables(spark)
+    ids = spark.range(200_000)
+    admissions = ids.select(F.col("id").alias("subject_id"), F.col("id").alias("hadm_id"),
+                            F.lit("2020-01-01").cast("timestamp").alias("admittime"))
+    patients = ids.select(F.col("id").alias("subject_id"), F.lit("1950-01-01").cast("timestamp").alias("dob"))
+    stays = ids.select(F.col("id").alias("subject_id"), F.col("id").alias("hadm_id"), F.col("id").alias("icustay_id"))
+    core = rel.merge_core(admissions, patients, stays)
+    joined = core.select("hadm_id", "age")
+    assert len(joined.collect()) == 200_000
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_callers_setting_stays(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(key)
