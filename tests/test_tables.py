@@ -184,6 +184,25 @@ def test_a_growing_table_is_not_broadcast(spark):
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_tasks_share_of_score_levels_is_bounded(spark):
+    """The scores of one run under few shuffle partitions: more and smaller tasks give the totals."""
+    tune_tables(spark)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        levels = spark.range(800_000).select(F.lit("inference").alias("run"), F.xxhash64("id").cast("double").alias("score"),
+                                             F.lit(1).alias("n"))
+        totals = running_totals(levels, "score", {"n": "upto"}, ["run"], descending=True)
+        placed = totals.groupBy(F.spark_partition_id().alias("part")).agg(F.count("n").alias("n"), F.max("upto").alias("upto"))
+        parts = placed.collect()
+    finally:
+        spark.conf.set(key, old)
+    sizes = [r["n"] for r in parts]
+    assert sum(sizes) == 800_000 == max(r["upto"] for r in parts)
+    assert len(sizes) > 4 and max(sizes) < 800_000 / 3  # two ranges may meet in one task
+
+
 def test_a_callers_setting_stays(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(key)
