@@ -6,6 +6,7 @@ import json
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,46 @@ def test_quality_on_awkward_rows(spark):
     assert quality.keep_good(docs, labels.limit(0)).count() == len(cases.rows())
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    docs = spark.range(0, 120_000, numPartitions=4).selectExpr("id as doc_id", "concat('word, ', id, '.') as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+    rows = quality.training_rows(quality.with_features(docs), labels)
+    want = [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(v, 120_000, 2)) for v in (0, 1)]
+    assert min(want) > 40_000  # so many rows of a label used to be all
+    assert {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()} == dict(enumerate(want))
+
+
+@pytest.mark.parametrize("together", [65_536, 64])
+def test_quality_fit_is_that_of_all_pairs(spark, monkeypatch, together):
+    monkeypatch.setattr(quality, "DRAWN_TOGETHER", together)
+    rng = np.random.default_rng(3)
+    k, y = len(quality.FEATURES), (np.arange(500) % 5 > 1).astype(int)
+    x = np.round(rng.normal(size=(500, k)) + y[:, None] * rng.normal(size=k) / 3, 2)
+    x[:, 3] = 1.5  # a feature that tells nothing
+    rows = spark.createDataFrame([(int(v), 7 * i, f.tolist()) for i, (v, f) in enumerate(zip(y, x))],
+                                 "label int, doc_id long, x array<double>").repartition(3)
+    got = quality.fit(rows)
+
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    sizes = [len(bad), len(good)]
+    blocks = range(-(-max(sizes) // together))
+    partner = {v: np.concatenate([quality.drawn(v, b, sizes, 7) for b in blocks]) for v in (0, 1)}
+    if len(blocks) == 1:
+        draw = np.random.default_rng(7)
+        assert (partner[0] == draw.choice(sizes[1], 4 * sizes[0])).all()
+        assert (partner[1] == draw.choice(sizes[0], 4 * sizes[1])).all()
+    one, two = np.concatenate((good[partner[0]], np.repeat(good, 4))), np.concatenate((np.repeat(bad, 4), bad[partner[1]]))
+    scale = np.where(x.std(axis=0) < 1e-9, 1.0, x.std(axis=0))
+    d, w = (x[one] - x[two]) / scale, np.array(got.weights)
+    gradient = d.T @ (1 / (1 + np.exp(-d @ w)) - 1) / len(d) + 1e-3 * w
+    assert len(d) == 2000 and np.abs(gradient).max() < 1e-9
+    raw = (x - x.mean(axis=0)) / scale @ w
+    cuts = np.quantile(raw, np.linspace(0.001, 0.999, 999))
+    right = np.array([(raw[good] >= c).mean() + (raw[bad] < c).mean() for c in cuts])
+    best = np.flatnonzero(right > right.max() - 1e-12)
+    assert np.isclose(got.threshold, cuts[best[len(best) // 2]]) and np.isclose(got.width, raw.std() / 2)
+
+
 def der(tag, content):
     size = len(content)
     head = bytes([size]) if size < 128 else bytes([0x82]) + size.to_bytes(2, "big")
