@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.llm.bpe import ragged
@@ -34,6 +34,8 @@ CHUNK = 2048  # documents whose n-grams travel together
 BUCKET_TOKENS = 2_000_000  # prefix n-grams that meet in one task
 
 PARTS = 4  # a bucket's lists are sorted in so many parts, one after another
+SHORT = 4  # documents of a list whose pairs are counted one by one; those of longer lists are tied to their first
+MARK_BITS = 26  # documents whose texts are needed are marked in 2 ** 26 bits, whatever their number
 BLOCK_BYTES = 1_000_000  # texts hashed together
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -358,7 +360,10 @@ def _linked(tokens: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _shared_lists(blobs: DataFrame, percent: int, frequent: np.ndarray) -> DataFrame:
-    """token, doc_id, size for all prefix n-grams of two documents of like sizes, and frequent ones."""
+    """token, doc_id, size for all prefix n-grams of two documents of like sizes, and frequent ones.
+
+    ``long`` tells blocks of more than ``SHORT`` entries and frequent n-grams.
+    """
     shared = blobs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(table: pa.Table) -> pa.Table:
@@ -376,19 +381,46 @@ def _shared_lists(blobs: DataFrame, percent: int, frequent: np.ndarray) -> DataF
             order = np.lexsort((sizes, tokens))
             tokens, ids, sizes = tokens[order], ids[order], sizes[order]
             linked = _linked(tokens, sizes, percent)
-            several = linked | np.append(linked[1:], False) | _is_frequent(tokens, shared.value)
+            often = _is_frequent(tokens, shared.value)
+            several = linked | np.append(linked[1:], False) | often
+            block = np.cumsum(~linked) - 1
+            long = often | (np.bincount(block)[block] > SHORT) if len(block) else often
             parts.append(pa.table({"token": pa.array(tokens[several].view(np.int64)), "doc_id": pa.array(ids[several]),
-                                   "size": pa.array(sizes[several])}))
+                                   "size": pa.array(sizes[several]), "long": pa.array(long[several])}))
         return pa.concat_tables(parts)
 
-    return blobs.groupBy("bucket").applyInArrow(run, "token long, doc_id long, size long")
+    return blobs.groupBy("bucket").applyInArrow(run, "token long, doc_id long, size long, long boolean")
+
+
+def _pairs_of(tokens: np.ndarray, ids: np.ndarray, sizes: np.ndarray, rest: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Of entries sorted by n-gram and size all pairs of like sizes: the smaller id with its set's size, the other
+    with its own, the lesser ``rest`` and the n-grams that they share."""
+    found = []
+    for step in range(1, len(tokens)):
+        near = (tokens[step:] == tokens[:-step]) & (100 * sizes[:-step] >= percent * sizes[step:])
+        if not near.any():
+            break
+        found.append(np.stack((np.flatnonzero(near), np.flatnonzero(near) + step)))
+    x, y = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
+    x, y = x[ids[x] != ids[y]], y[ids[x] != ids[y]]
+    columns = [ids[x], ids[y], sizes[x], sizes[y], np.minimum(rest[x], rest[y])]
+    order = np.lexsort(columns[:4])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:4]])
+    first = np.flatnonzero(new)
+    return [*[c[first] for c in columns], np.diff(np.append(first, len(order)))]
 
 
 def _group_edges(lists: DataFrame, percent: int, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """Edges that tie the members of every block of every list together.
+    """Edges that tie all documents that may be similar together.
 
-    The lists of frequent n-grams are dealt over all buckets; there each part's blocks are tied,
-    then the blocks of all parts by their sizes.
+    Two sets may be similar if they share enough prefix n-grams: those shared in short blocks, which are
+    counted, and at most those that the lesser of the two has in long ones (``rest``). If a pair shares
+    none in short blocks, both have enough in long ones; the entries of such documents in a long
+    block are tied together. The lists of frequent n-grams are dealt over all buckets; there each part's
+    blocks are tied, then the blocks of all parts by their sizes.
     """
     shared = lists.sparkSession.sparkContext.broadcast(frequent)
 
@@ -399,22 +431,31 @@ def _group_edges(lists: DataFrame, percent: int, frequent: np.ndarray, buckets:
             spread = _mixed(batch.column(1).to_numpy().view(np.uint64)) * often
             bucket = (((tokens >> np.uint64(20)) + (spread >> np.uint64(20))) % np.uint64(buckets)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(often), pa.array(bucket)],
-                                             names=["token", "doc_id", "size", "often", "bucket"])
+                                             names=[*batch.schema.names, "often", "bucket"])
 
     def tie(table: pa.Table) -> pa.Table:
-        tokens, ids, sizes, often = (table.column(c).to_numpy() for c in ("token", "doc_id", "size", "often"))
+        tokens, ids, sizes, long, rest, often = (
+            table.column(c).to_numpy() for c in ("token", "doc_id", "size", "long", "rest", "often"))
         order = np.lexsort((ids, sizes, tokens))
-        tokens, ids, sizes, often = tokens[order], ids[order], sizes[order], often[order]
+        tokens, ids, sizes, long, rest, often = (x[order] for x in (tokens, ids, sizes, long, rest, often))
+        counted = _pairs_of(*[x[~long] for x in (tokens, ids, sizes, rest)], percent)
+        tokens, ids, sizes, often = (x[long] for x in (tokens, ids, sizes, often))
         first = np.flatnonzero(~_linked(tokens, sizes, percent))
         last = np.append(first[1:], len(tokens)) - 1
         centre = np.repeat(ids[first], np.diff(np.append(first, len(tokens))))
         pairs = np.unique(np.stack((ids, centre), axis=1)[ids != centre], axis=0)
         first, last = first[often[first]], last[often[first]]
-        return pa.table({"a": pa.array(np.concatenate((pairs[:, 0], ids[first]))),
-                         "b": pa.array(np.concatenate((pairs[:, 1], ids[first]))),
-                         "token": pa.array([None] * len(pairs) + tokens[first].tolist(), pa.int64()),
-                         "low": pa.array([None] * len(pairs) + sizes[first].tolist(), pa.int64()),
-                         "high": pa.array([None] * len(pairs) + sizes[last].tolist(), pa.int64())})
+        none = [None] * len(pairs)
+        stars = pa.table({"a": pa.array(np.concatenate((pairs[:, 0], ids[first]))),
+                          "b": pa.array(np.concatenate((pairs[:, 1], ids[first]))),
+                          "token": pa.array(none + tokens[first].tolist(), pa.int64()),
+                          "low": pa.array(none + sizes[first].tolist(), pa.int64()),
+                          "high": pa.array(none + sizes[last].tolist(), pa.int64()),
+                          "rest": pa.nulls(len(pairs) + len(first), pa.int64()),
+                          "n": pa.nulls(len(pairs) + len(first), pa.int64())})
+        a, b, low, high, rest, n = (pa.array(c.astype(np.int64)) for c in counted)
+        return pa.concat_tables([stars, pa.table({"a": a, "b": b, "token": pa.nulls(len(a), pa.int64()), "low": low,
+                                                  "high": high, "rest": rest, "n": n})])
 
     def tie_blocks(table: pa.Table) -> pa.Table:
         tokens, ids, low, high = (table.column(c).to_numpy() for c in ("token", "a", "low", "high"))
@@ -429,11 +470,46 @@ def _group_edges(lists: DataFrame, percent: int, frequent: np.ndarray, buckets:
         pairs = np.unique(np.stack((ids[at], ids[at - 1]), axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    placed = lists.mapInArrow(place, "token long, doc_id long, size long, often boolean, bucket long")
-    tied = materialise(placed.groupBy("bucket").applyInArrow(tie, "a long, b long, token long, low long, high long"))
+    placed = lists.mapInArrow(
+        place, "token long, doc_id long, size long, long boolean, rest long, often boolean, bucket long")
+    tied = materialise(placed.groupBy("bucket").applyInArrow(
+        tie, "a long, b long, token long, low long, high long, rest long, n long"))
+    counted = tied.filter("n is not null").groupBy("a", "b", "low", "high").agg(
+        F.sum("n").alias("n"), F.max("rest").alias("rest"))
+    near = counted.filter(F.col("n") + F.col("rest") >= _needed(F.least("low", "high"))).select("a", "b")
     blocks = tied.filter("token is not null").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
     across = blocks.groupBy("bucket").applyInArrow(tie_blocks, "a long, b long")
-    return tied.filter("token is null").select("a", "b").unionByName(across)
+    return tied.filter("token is null and n is null").select("a", "b").unionByName(across).unionByName(near)
+
+
+def _needed(size: Column) -> Column:
+    """How many prefix n-grams a similar pair shares whose smaller set has ``size``: what both prefixes are
+    longer than needed by."""
+    return F.greatest(F.floor(size * 15 / 100), F.lit(1))
+
+
+def _marked(members: DataFrame) -> np.ndarray:
+    """A bit for every hash of an id: most other texts need not be sent to be found without a member."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
+    words = (members.select(bit.alias("b")).selectExpr("shiftright(b, 6) as w", "shiftleft(1L, cast(b & 63 as int)) as m")
+             .groupBy("w").agg(F.bit_or("m").alias("m")).toArrow())
+    marks = np.zeros(1 << MARK_BITS - 6, np.uint64)
+    marks[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    return marks
+
+
+def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` that may be members'; some others pass."""
+    shared = texts.sparkSession.sparkContext.broadcast(_marked(members))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(2).to_numpy()
+            found = shared.value[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
+            yield batch.select([0, 1]).filter(pa.array(found.astype(bool)))
+
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
+    return texts.withColumn("bit", bit).mapInArrow(run, "doc_id long, text binary")
 
 
 def _with_sets(rows: DataFrame, keep: list[str], words: int) -> DataFrame:
@@ -568,22 +644,11 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = table.agg(F.sum("n_shingles")).first()[0] or 0
     frequent = frequent_shingles(read.filter("n is not null"), total)
     buckets = max(-(-total // (3 * BUCKET_TOKENS)), 16)
-    blobs = _prefix_blobs(known, id_col, text_col, words, percent, frequent, buckets)
-    lists = materialise(_shared_lists(blobs, percent, frequent))
-
-    # A similar pair shares as many prefix n-grams as the smaller of the two prefixes is longer than needed.
-    partner = F.ceil(F.col("size") * percent / 100)
-    needed = F.greatest(F.floor(partner * 15 / 100), F.lit(1))
-    possible = (lists.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") >= needed).select("doc_id", "size"))
-    left = materialise(lists.join(possible, ["doc_id", "size"]).select("token", "doc_id", "size"))
-    release(docs.sparkSession)
-    groups = materialise(components(_group_edges(left, percent, frequent, buckets)))
-    members = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("part")).join(
-        left.select("doc_id", "size").distinct(), "doc_id")
+    members = _members(_prefix_blobs(known, id_col, text_col, words, percent, frequent, buckets), percent, frequent,
+                       buckets)
     members = materialise(_placed(members, percent, most, grams))
     release(docs.sparkSession)
-    texts = _texts(known, id_col, text_col)
+    texts = _texts_of(members, _texts(known, id_col, text_col))
     # An id with several texts meets the rows of each; the one of the row's size is meant.
     sets = materialise(_with_sets(texts.join(members, "doc_id"), ["doc_id", "size", *_BLOCK], words)
                        .filter(F.octet_length("s") == 8 * F.col("size")))
@@ -606,6 +671,31 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found
 
 
+def _members(blobs: DataFrame, percent: int, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """doc_id, size and part: the sets that may be similar to another one, by groups.
+
+    What a step has read is let go at its end, so that at most two of them take disk at a time.
+    """
+    spark = blobs.sparkSession
+    lists = materialise(_shared_lists(blobs, percent, frequent))
+    del blobs
+    release(spark)
+    # A similar pair shares as many prefix n-grams as the smaller of the two prefixes is longer than needed.
+    needed = _needed(F.ceil(F.col("size") * percent / 100))
+    counts = lists.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n"), F.count_if("long").alias("rest"))
+    possible = materialise(counts.filter(F.col("n") >= needed).select("doc_id", "size", "rest"))
+    left = materialise(lists.join(possible, ["doc_id", "size"]).filter(~F.col("long") | (F.col("rest") >= needed))
+                       .select("token", "doc_id", "size", "long", "rest"))
+    del lists, counts
+    release(spark)
+    edges = _group_edges(left, percent, frequent, buckets)
+    groups = materialise(components(edges))
+    del left, edges
+    release(spark)
+    return groups.select(F.col("node").alias("doc_id"), F.col("component").alias("part")).join(
+        possible.select("doc_id", "size"), "doc_id")
+
+
 def _edges(sets: DataFrame, percent: int, bins: int, several: bool) -> DataFrame:
     """Links' forest of all groups. Those of one block meet in bins, filled by their n-grams."""
     small = sets.filter("class < 0").withColumn("bin", F.pmod(F.xxhash64("part"), F.lit(bins)))

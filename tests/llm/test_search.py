@@ -155,6 +155,44 @@ def test_chains_of_near_copies_in_small_blocks(spark):
         assert {tuple(r) for r in jaccard_join.similar_classes(docs, most=most).collect()} == brute_classes(rows)
 
 
+def test_documents_that_share_a_little_with_many_are_no_group(spark):
+    # Every two of twelve share a passage of their own, so all n-grams of each are shared, but few with any other.
+    def text(i, extra=""):
+        return " ".join(f"p{min(i, j)}x{max(i, j)}w{k}" for j in range(12) if j != i for k in range(60)) + extra
+
+    rows = [(i, text(i)) for i in range(12)] + [(40, text(3, " and two words")), (41, text(3, " or three other words"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    frequent = np.zeros(0, np.uint64)
+    blobs = jaccard_join._prefix_blobs(docs, "doc_id", "text", 5, 80, frequent, 16)
+    groups = jaccard_join._members(blobs, 80, frequent, 16).collect()
+    assert {(r["doc_id"], r["part"]) for r in groups} == {(3, 3), (40, 3), (41, 3)}
+    assert {tuple(r) for r in jaccard_join.similar_classes(docs).collect()} == brute_classes(rows)
+
+
+@pytest.mark.parametrize("short", [1, 3, 4, 1000])
+def test_short_and_long_lists_tie_the_same(spark, monkeypatch, short):
+    monkeypatch.setattr(jaccard_join, "SHORT", short)
+    rng = random.Random(8)
+    passages = [" ".join(f"s{i}w{k}" for k in range(25)) for i in range(8)]
+    rows = []
+    for size in range(1, 9):  # clusters of near copies, and passages that go through them
+        words = [f"c{size}w{k}" for k in range(rng.choice([6, 30, 150]))]
+        for _ in range(size):
+            if rng.random() < 0.7:
+                words[rng.randrange(len(words))] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words) + (" " + rng.choice(passages) if len(words) > 100 else "")))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in jaccard_join.similar_classes(docs).collect()} == brute_classes(rows)
+
+
+def test_only_texts_of_members_are_sent(spark):
+    texts = spark.range(0, 2000, numPartitions=3).selectExpr("id as doc_id", "cast(concat('text ', id) as binary) as text")
+    few = spark.createDataFrame([(i,) for i in (3, 7, 1999)], "doc_id long")
+    got = {r["doc_id"]: bytes(r["text"]) for r in jaccard_join._texts_of(few, texts).collect()}
+    assert {3, 7, 1999} <= set(got) and len(got) < 10 and got[7] == b"text 7"
+
+
 def test_similar_classes_of_awkward_and_no_rows(spark):
     docs = cases.documents(spark)
     got = jaccard_join.similar_classes(docs).collect()
