@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -498,18 +499,27 @@ def _marked(members: DataFrame) -> np.ndarray:
     return marks
 
 
-def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` that may be members'; some others pass."""
-    shared = texts.sparkSession.sparkContext.broadcast(_marked(members))
-
+def _by_mark(rows: DataFrame, shared: Broadcast, marked: bool) -> DataFrame:
+    """The rows whose doc_id has, or has not, its mark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = batch.column(2).to_numpy()
+            bit = batch.column(batch.num_columns - 1).to_numpy()
             found = shared.value[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)
-            yield batch.select([0, 1]).filter(pa.array(found.astype(bool)))
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(found.astype(bool) == marked))
 
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
-    return texts.withColumn("bit", bit).mapInArrow(run, "doc_id long, text binary")
+    return rows.withColumn("_bit", bit).mapInArrow(run, rows.schema)
+
+
+def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` that may be members'; some others pass."""
+    return _by_mark(texts, texts.sparkSession.sparkContext.broadcast(_marked(members)), True)
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those with a doc_id of ``ids``; only texts that may have one are shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(_marked(ids))
+    return _by_mark(docs, shared, False).unionByName(_by_mark(docs, shared, True).join(ids, "doc_id", "left_anti"))
 
 
 def _with_sets(rows: DataFrame, keep: list[str], words: int) -> DataFrame:
@@ -666,6 +676,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centre = its_sets.groupBy("doc_id").agg(F.min("rep").alias("b"))
     edges = edges.unionByName(its_sets.join(centre, "doc_id").select(F.col("rep").alias("a"), "b"))
     classes = components(edges).select(F.col("node").alias("rep"), "component")
+    del sets, edges  # the classes are written by now
+    release(docs.sparkSession)
     found = (table.join(reps, "set_key", "left").join(classes, "rep", "left")
              .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
     return found

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohorta.llm import jaccard_join, packing, quality, secrets, suffix_levels
-from cohorta.llm.common import stored, table
-from cohorta.session import tune
+from cohorta.llm.common import release, stored, table
+from cohorta.session import materialise, tune
 
 END_ID, LONGEST = 2, 4096
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -31,9 +31,11 @@ def _nameless(docs: DataFrame) -> DataFrame:
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest id."""
     tune(spark)
-    classes = jaccard_join.similar_classes(docs)
-    first = classes.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS).unionByName(_nameless(docs))
+    classes = jaccard_join.similar_classes(docs).groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+    others = materialise(classes.filter("not first").select("doc_id"))
+    release(spark)
+    return jaccard_join.without(docs.select(*COLUMNS), others)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -193,6 +193,16 @@ def test_only_texts_of_members_are_sent(spark):
     assert {3, 7, 1999} <= set(got) and len(got) < 10 and got[7] == b"text 7"
 
 
+def test_texts_without_some_ids(spark, monkeypatch):
+    rows = [(i % 90, f"text {i}") for i in range(300)] + [(None, "nameless")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    gone = spark.createDataFrame([(i,) for i in range(0, 90, 7)] + [(1000,)], "doc_id long")
+    for bits in (26, 6):  # many ids share a mark
+        monkeypatch.setattr(jaccard_join, "MARK_BITS", bits)
+        got = sorted(r["text"] for r in jaccard_join.without(docs, gone).collect())
+        assert got == sorted(t for i, t in rows if i is None or i % 7)
+
+
 def test_similar_classes_of_awkward_and_no_rows(spark):
     docs = cases.documents(spark)
     got = jaccard_join.similar_classes(docs).collect()
