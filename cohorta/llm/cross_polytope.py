@@ -3,19 +3,22 @@
 Unit vectors are turned by fast pseudo-random rotations (signs and Hadamard transforms) and belong
 to the nearest signed axis. Vectors are indexed by bands of like norm, so a long one does not change
 where the others are found. A query looks into the buckets of its best axes in every band and table;
-what it finds there is ranked by the exact inner product. Queries that find too few rows go through
-all vectors.
+what it finds there is ranked by the exact inner product. Neighbouring buckets are searched together: a
+query is sent once to a block of them, with the least sum of coordinates that a bucket must have to be
+looked into. Queries that find too few rows go through all vectors.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohorta.llm.bpe import ragged
 from cohorta.llm.common import travels
 from cohorta.session import materialise
 
@@ -23,9 +26,11 @@ travels(__name__)
 
 TABLES = 10
 REACH, GROWTH = 0.6, 0.75  # a query meets about REACH * n ** GROWTH vectors per table
-BUCKET_ROWS = 8192  # vectors of a bucket, and queries, that are searched in one task
+BUCKET_ROWS = 8192  # vectors, and queries, of which all meet in one task
+BLOCK_BUCKETS = 8  # times as many vectors, and queries, where only those of the same bucket meet
+BLOCK_VALUES = 4_000_000  # coordinates of the vectors, or of the queries, of a block of buckets
+STEP_VALUES = 1_000_000  # sums or scores worked on at once
 WHOLE_ROWS = 256  # smaller bands are searched whole, all together
-WHOLE = 10_000  # the number of that band; octaves of doubles are within +-2200
 
 
 @dataclass
@@ -74,21 +79,49 @@ class Hashing:
             number = number * self.axes + self._both_signs(vectors, table, f).argmax(axis=1)
         return number
 
-    def probed(self, vectors: np.ndarray, table: int) -> np.ndarray:
-        """The ``probes`` best buckets of each vector: those with the largest sums of coordinates."""
-        numbers = np.zeros((len(vectors), 1), np.int64)
-        sums = np.zeros((len(vectors), 1))
-        for f in range(self.functions):
-            values = self._both_signs(vectors, table, f)
-            most = min(self.probes, self.axes)
-            axes = np.argpartition(-values, most - 1, axis=1)[:, :most]
-            value = np.take_along_axis(values, axes, 1)
-            numbers = (numbers[:, :, None] * self.axes + axes[:, None, :]).reshape(len(vectors), -1)
-            sums = (sums[:, :, None] + value[:, None, :]).reshape(len(vectors), -1)
-            most = min(self.probes, numbers.shape[1])
-            best = np.argpartition(-sums, most - 1, axis=1)[:, :most]
-            numbers, sums = np.take_along_axis(numbers, best, 1), np.take_along_axis(sums, best, 1)
-        return numbers
+    def sides(self, vectors: np.ndarray, table: int) -> list[np.ndarray]:
+        """The coordinates along all signed axes, by function."""
+        return [self._both_signs(vectors, table, f) for f in range(self.functions)]
+
+    def least_probed(self, sides: list[np.ndarray]) -> np.ndarray:
+        """The least sum of coordinates among the ``probes`` best buckets of each vector; all that tie are probed.
+
+        In descending order the i-th prefix and the j-th axis are among the best P only if i * j <= P.
+        """
+        sums = np.zeros((len(sides[0]), 1))
+        for values in sides:
+            values = -np.sort(-values, axis=1)[:, :self.probes]
+            most = np.minimum(self.probes // np.arange(1, sums.shape[1] + 1), values.shape[1])
+            i, j = np.repeat(np.arange(len(most)), most), ragged(np.arange(values.shape[1]), np.zeros(len(most), np.int64), most)
+            sums = sums[:, i] + values[:, j]
+            if sums.shape[1] > self.probes:
+                sums = -np.partition(-sums, self.probes - 1, axis=1)[:, :self.probes]
+            sums = -np.sort(-sums, axis=1)
+        return sums[:, -1]
+
+    def edges(self, blocks: int) -> np.ndarray:
+        """The first axes of the blocks that the buckets are cut into, and the end."""
+        return np.arange(blocks + 1) * self.axes // blocks
+
+    def block_of(self, buckets: np.ndarray, blocks: int) -> np.ndarray:
+        return np.searchsorted(self.edges(blocks), buckets // self.axes ** (self.functions - 1), "right") - 1
+
+    def reached(self, sides: list[np.ndarray], least: np.ndarray, first: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vector and bucket for all buckets with a sum of at least ``least`` whose first axis is in the range.
+
+        Prefixes that no further axes can lift to it are dropped; sums are added in the same order everywhere.
+        """
+        at, number, sums = np.arange(len(least)), np.zeros(len(least), np.int64), np.zeros(len(least))
+        low, high = first, end
+        for f, values in enumerate(sides):
+            sums = sums[:, None] + values[at, low:high]
+            best = sums
+            for more in sides[f + 1:]:
+                best = best + more.max(axis=1)[at][:, None]
+            row, axis = np.nonzero(best >= least[at][:, None])
+            sums, number, at = sums[row, axis], number[row] * self.axes + axis + low, at[row]
+            low, high = 0, self.axes
+        return at, number
 
 
 def usable(vector: Column) -> Column:
@@ -114,6 +147,45 @@ def exact_scores(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return (np.ascontiguousarray(one) * np.ascontiguousarray(many)).sum(axis=-1)
 
 
+def _found(entry: np.ndarray, lengths: np.ndarray, found: np.ndarray, scores: np.ndarray) -> pa.Table:
+    ends = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
+    return pa.table({"entry": pa.array(entry, pa.int64()),
+                     "found": pa.ListArray.from_arrays(ends, pa.array(found, pa.int64())),
+                     "scores": pa.ListArray.from_arrays(ends, pa.array(scores, pa.float64()))})
+
+
+class _Best:
+    """The ``keep`` entries of the highest scores of each query, of all that were offered."""
+
+    def __init__(self, queries: int, keep: int):
+        self.keep, self.least = keep, np.full(queries, -np.inf)
+        self.kept, self.size = [], 0
+
+    def offer(self, rows: np.ndarray, q: np.ndarray, v: np.ndarray, start: int, end: int) -> None:
+        step = max(STEP_VALUES // (end - start), 1)
+        for i in range(0, len(rows), step):
+            some = rows[i:i + step]
+            scores = q[some] @ v[start:end].T
+            row, entry = np.nonzero(scores >= self.least[some][:, None])
+            self.kept.append((some[row], entry + start, scores[row, entry]))
+            self.size += len(row)
+            if self.size > STEP_VALUES:
+                self.chosen()
+
+    def chosen(self) -> tuple[np.ndarray, np.ndarray]:
+        """Query and entry of what is best so far, by query; the rest is forgotten."""
+        row, entry, score = (np.concatenate(x) for x in zip(*self.kept)) if self.kept else np.zeros((3, 0), np.int64)
+        order = np.lexsort((entry, -score, row))
+        row, entry, score = row[order], entry[order], score[order]
+        first = np.searchsorted(row, row)
+        rank = np.arange(len(row)) - first
+        last = rank == self.keep - 1
+        self.least[row[last]] = score[last]
+        few = rank < self.keep
+        self.kept, self.size = [(row[few], entry[few], score[few])], int(few.sum())
+        return row[few], entry[few]
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id",
             vector_col: str = "embedding", tables: int = TABLES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: up to ``k`` rows per query row, nearest first.
@@ -154,48 +226,92 @@ def _nearest_of(rows: DataFrame, dim: int, k: int, tables: int) -> DataFrame:
     n_asked, reachable = entries.agg(F.count_if("asked"), F.sum(F.size("members"))).first()
     hashings = {band: Hashing(dim, n, tables) for band, n in sorted(rows_of.items()) if n > WHOLE_ROWS}
     others = sum(rows_of.values()) - sum(h.rows for h in hashings.values())
-    # Queries that meet in a bucket: what is expected of a band's buckets.
-    slices = {band: -(-n_asked * h.probes // (h.buckets * BUCKET_ROWS)) for band, h in hashings.items()}
-    slices[WHOLE] = -(-n_asked // BUCKET_ROWS)
+    together = max(min(BLOCK_BUCKETS * BUCKET_ROWS, BLOCK_VALUES // dim), 1)
+    blocks_of = {band: min(-(-h.rows // together), h.axes) for band, h in hashings.items()}
     plain = Hashing(dim, 1)
     keep = k + 1
 
-    def placed(band: int, t: int, bucket: np.ndarray, rows: pa.RecordBatch) -> pa.RecordBatch:
+    def placed(band: int, t: int, block: np.ndarray, rows: pa.RecordBatch, name: str, values: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(bucket), band, np.int32)), pa.array(np.full(len(bucket), t, np.int32)),
-             pa.array(bucket), pa.array(np.full(len(bucket), max(slices[band], 1), np.int32)), rows.column(0),
-             rows.column(1)], names=["band", "t", "bucket", "slices", "entry", "v"])
+            [pa.array(np.full(len(block), band, np.int32)), pa.array(np.full(len(block), t, np.int32)),
+             pa.array(block.astype(np.int32)), rows.column(0), rows.column(1), pa.array(values)],
+            names=["band", "t", "block", "entry", "v", name])
 
     def index(batches):
         for batch in batches:
             bands = batch.column(2).to_numpy()
             for band in np.unique(bands).tolist():
                 some = batch.take(pa.array(np.flatnonzero(bands == band)))
-                if band not in hashings:
-                    yield placed(WHOLE, 0, np.zeros(len(some), np.int64), some)
-                    continue
-                x = _directions(_matrix(some.column(1), dim), plain)
+                x, hashing = _directions(_matrix(some.column(1), dim), plain), hashings[band]
                 for t in range(tables):
-                    yield placed(band, t, hashings[band].bucket(x, t), some)
+                    bucket = hashing.bucket(x, t)
+                    yield placed(band, t, hashing.block_of(bucket, blocks_of[band]), some, "bucket", bucket)
 
     def probe(batches):
-        for batch in batches:
-            if others:
-                yield placed(WHOLE, 0, np.zeros(len(batch), np.int64), batch)
-            x = _directions(_matrix(batch.column(1), dim), plain)
+        for whole in batches:
             for band, hashing in hashings.items():
-                for t in range(tables):
-                    numbers = hashing.probed(x, t)
-                    many = pa.array(np.repeat(np.arange(len(x)), numbers.shape[1]))
-                    yield placed(band, t, numbers.ravel(), batch.take(many))
-
-    shape = "band int, t int, bucket long, slices int, entry long, v array<double>"
-    place = ["band", "t", "bucket"]
-    hashed = entries.select("entry", "v", "band").mapInArrow(index, shape)
-    probed = entries.filter("asked").select("entry", "v").mapInArrow(probe, shape)
-    # Large buckets are searched in parts; a query goes to every part of its buckets. Vectors go to every slice of queries.
-    parts = hashed.groupBy(place).agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).cast("int").alias("parts"))
-    hashed, probed = hashed.join(parts, place), probed.join(parts, place)
+                step = max(STEP_VALUES // int(hashing.probes * (1 + np.log(hashing.probes)) + hashing.axes), 1)
+                for i in range(0, len(whole), step):
+                    batch = whole.slice(i, step)
+                    x = _directions(_matrix(batch.column(1), dim), plain)
+                    for t in range(tables):
+                        sides = hashing.sides(x, t)
+                        least = hashing.least_probed(sides)
+                        best = np.maximum.reduceat(sides[0], hashing.edges(blocks_of[band])[:-1], axis=1)
+                        for more in sides[1:]:
+                            best = best + more.max(axis=1)[:, None]
+                        row, block = np.nonzero(best >= least[:, None])
+                        yield placed(band, t, block, batch.take(pa.array(row)), "least", least[row])
+
+    shape = "band int, t int, block int, entry long, v array<double>"
+    place = ["band", "t", "block"]
+    hashed = entries.filter(F.col("band").isin(list(hashings))).select("entry", "v", "band").mapInArrow(
+        index, f"{shape}, bucket long")
+    probed = entries.filter("asked").select("entry", "v").mapInArrow(probe, f"{shape}, least double")
+    # Large blocks are searched in parts; a query goes to every part of its blocks. Vectors go to every slice of
+    # queries. The blocks are few: one for ``together`` vectors, and for a band.
+    parts = F.broadcast(hashed.groupBy(place).agg(F.ceil(F.count(F.lit(1)) / together).cast("int").alias("parts")))
+    slices = F.lit(max(-(-n_asked // together), 1)).alias("slices")
+    hashed, probed = (rows.join(parts, place).select("*", slices) for rows in (hashed, probed))
+
+    def search_block(key: tuple, ask: pa.Table, there: pa.Table) -> pa.Table:
+        if not len(ask) or not len(there):
+            return _found(*[np.zeros(0, np.int64)] * 3, np.zeros(0))
+        band, t, block = (x.as_py() for x in key[:3])
+        hashing = hashings[band]
+        first, end = hashing.edges(blocks_of[band])[block:block + 2].tolist()
+        there = there.take(pa.array(np.argsort(there.column("bucket").to_numpy(), kind="stable")))
+        v, ids = _matrix(there.column("v").combine_chunks(), dim), there.column("entry").to_numpy()
+        buckets, starts = np.unique(there.column("bucket").to_numpy(), return_index=True)
+        ends = np.append(starts[1:], len(ids))
+        q, least = _matrix(ask.column("q").combine_chunks(), dim), ask.column("least").to_numpy()
+        step = max(STEP_VALUES // ((end - first) * (hashing.axes if hashing.functions > 1 else 1)), 1)
+        out = [[], [], []]
+        for low in range(0, len(q), BUCKET_ROWS):
+            some, pairs = q[low:low + BUCKET_ROWS], []
+            for i in range(0, len(some), step):
+                sides = hashing.sides(_directions(some[i:i + step], plain), t)
+                at, number = hashing.reached(sides, least[low + i:low + i + step][:len(sides[0])], first, end)
+                place = np.minimum(np.searchsorted(buckets, number), len(buckets) - 1)
+                there_is = buckets[place] == number
+                pairs.append((at[there_is] + i, place[there_is]))
+            best = _Best(len(some), 2 * keep)
+            at, place = (np.concatenate(x) for x in zip(*pairs))
+            order = np.argsort(place, kind="stable")
+            at, place = at[order], place[order]
+            cuts = np.flatnonzero(np.diff(place, prepend=-1))
+            for a, b, c in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)], place[cuts].tolist()):
+                best.offer(at[a:b], some, v, int(starts[c]), int(ends[c]))
+            row, entry = best.chosen()
+            pieces = [slice(i, i + max(STEP_VALUES // dim, 1)) for i in range(0, len(row), max(STEP_VALUES // dim, 1))]
+            scores = np.concatenate([np.zeros(0), *[exact_scores(some[row[x]], v[entry[x]]) for x in pieces]])
+            order = np.lexsort((ids[entry], -scores, row))
+            few = order[np.arange(len(row)) - np.searchsorted(row, row) < keep]
+            for kept, values in zip(out, (row[few] + low, ids[entry[few]], scores[few])):
+                kept.append(values)
+        row, found, scores = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in out)
+        new = np.flatnonzero(np.diff(row, prepend=-1))
+        return _found(ask.column("asking").to_numpy()[row[new]], np.diff(np.append(new, len(row))), found, scores)
 
     def search(ask: pa.Table, there: pa.Table) -> pa.Table:
         entry = ask.column("asking")
@@ -215,18 +331,23 @@ def _nearest_of(rows: DataFrame, dim: int, k: int, tables: int) -> DataFrame:
         return pa.table({"entry": entry, "found": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out_ids))),
                          "scores": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(out_scores)))})
 
-    def answers(ask: DataFrame, there: DataFrame) -> DataFrame:
-        """Both have parts, slices, entry, v and the columns of ``place``."""
+    def answers(ask: DataFrame, there: DataFrame, place: list[str], search, least: str, bucket: str) -> DataFrame:
+        """Both have parts, slices, entry, v and the columns of ``place``; and each a column of its own."""
         part, piece = (F.pmod(F.xxhash64("entry", F.lit(i)), c).cast("int") for i, c in enumerate(("parts", "slices")))
         all_parts, all_slices = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("parts", "slices"))
         ask = ask.withColumn("slice", piece).withColumn("part", all_parts)
         there = there.withColumn("part", part).withColumn("slice", all_slices)
         at = [*place, "part", "slice"]
         # The two sides may come from one table: other names keep their columns apart.
-        ask = ask.select(*at, "entry", "v").toDF(*[f"at_{c}" for c in at], "asking", "q")
-        return ask.groupBy([f"at_{c}" for c in at]).cogroup(there.select(*at, "entry", "v").groupBy(at)).applyInArrow(
+        ask = ask.select(*at, "entry", "v", least).toDF(*[f"at_{c}" for c in at], "asking", "q", "least")
+        there = there.select(*at, "entry", "v", bucket)
+        return ask.groupBy([f"at_{c}" for c in at]).cogroup(there.groupBy(at)).applyInArrow(
             search, "entry long, found array<long>, scores array<double>")
 
+    def everywhere(rows: DataFrame, blocks: int, pieces: int) -> DataFrame:
+        return rows.select("entry", "v", F.lit(blocks).alias("parts"), F.lit(pieces).alias("slices"), F.lit(0).alias("whole"),
+                           F.lit(0).alias("extra"))
+
     def merge(found: pa.Table) -> pa.Table:
         ids = found.column("found").combine_chunks().flatten().to_numpy()
         scores = found.column("scores").combine_chunks().flatten().to_numpy()
@@ -245,16 +366,24 @@ def _nearest_of(rows: DataFrame, dim: int, k: int, tables: int) -> DataFrame:
                 .withColumn("n", F.row_number().over(best)).filter(F.col("n") <= keep)
                 .groupBy("entry").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best")))
 
-    lists = materialise(ranked_lists(answers(probed, hashed)))
+    asked = entries.filter("asked")
+    found = []
+    if hashings:
+        found.append(answers(probed, hashed, place, search_block, "least", "bucket"))
+    if others:
+        pieces = [max(-(-n // BUCKET_ROWS), 1) for n in (others, n_asked)]
+        apart = entries.filter(~F.col("band").isin(list(hashings)))
+        found.append(answers(everywhere(asked, *pieces), everywhere(apart, *pieces), ["whole"], search, "extra", "extra"))
+    lists = materialise(ranked_lists(reduce(DataFrame.unionByName, found)))
     full = lists.filter(F.size("best") >= min(keep, reachable or 0))
-    short = materialise(entries.filter("asked").select("entry", "v").join(full, "entry", "left_anti"))
+    short = materialise(asked.select("entry", "v").join(full, "entry", "left_anti"))
     n_short = short.count()
     if n_short:
         # Too few rows in the buckets: all vectors, in blocks.
-        blocks, pieces = -(-sum(rows_of.values()) // BUCKET_ROWS), -(-n_short // BUCKET_ROWS)
-        everywhere = [*[F.lit(0).alias(c) for c in place], F.lit(blocks).alias("parts"), F.lit(pieces).alias("slices")]
-        lists = full.unionByName(ranked_lists(answers(short.select("*", *everywhere), entries.select("entry", "v", *everywhere))))
-    lists = entries.filter("asked").select("entry", "v").join(lists, "entry").select("v", "best")
+        pieces = [-(-n // BUCKET_ROWS) for n in (sum(rows_of.values()), n_short)]
+        lists = full.unionByName(ranked_lists(answers(
+            everywhere(short, *pieces), everywhere(entries, *pieces), ["whole"], search, "extra", "extra")))
+    lists = asked.select("entry", "v").join(lists, "entry").select("v", "best")
     asking = rows.filter("asks").select(F.col("vec_id").alias("query_id"), "v").distinct()
     ranked = asking.join(lists, "v").select("query_id", F.posexplode(F.slice(F.filter(
         "best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)).alias("rank", "b"))

@@ -67,6 +67,44 @@ def test_large_buckets_are_searched_in_parts(spark, monkeypatch):
     want = sorted(tuple(r) for r in cross_polytope.nearest(df, F.col("vec_id") % 20 == 0).collect())
     monkeypatch.setattr(cross_polytope, "BUCKET_ROWS", 3)
     assert sorted(tuple(r) for r in cross_polytope.nearest(df, F.col("vec_id") % 20 == 0).collect()) == want
+    monkeypatch.setattr(cross_polytope, "STEP_VALUES", 50)
+    assert sorted(tuple(r) for r in cross_polytope.nearest(df, F.col("vec_id") % 20 == 0).collect()) == want
+
+
+@pytest.mark.parametrize("dim, functions", [(24, 1), (8, 2), (4, 3)])
+def test_blocks_of_buckets_hold_the_probed_ones(dim, functions):
+    x = np.random.default_rng(6).normal(size=(6000 if functions > 1 else 500, dim))
+    hashing = cross_polytope.Hashing(dim, len(x))
+    assert hashing.functions == functions
+    q, plain = cross_polytope._directions(x[:40], cross_polytope.Hashing(dim, 1)), np.arange(hashing.buckets)
+    sides = hashing.sides(q, 2)
+    sums = sides[0]
+    for values in sides[1:]:
+        sums = (sums[:, :, None] + values[:, None, :]).reshape(len(q), -1)
+    best = [set(np.flatnonzero(s >= -np.sort(-s)[hashing.probes - 1]).tolist()) for s in sums]  # all that tie with the last
+    least = hashing.least_probed(sides)
+    for blocks in (1, 3, hashing.axes):
+        edges, found = hashing.edges(blocks), [set() for _ in q]
+        for b in range(blocks):
+            at, number = hashing.reached(sides, least, edges[b], edges[b + 1])
+            assert (hashing.block_of(number, blocks) == b).all()
+            for i, bucket in zip(at.tolist(), number.tolist()):
+                found[i].add(bucket)
+        assert found == best and hashing.block_of(plain, blocks).max() == blocks - 1
+
+
+def test_memory_of_many_probes():
+    # With two hashes to a bucket each query probes hundreds of buckets: its vector is sent to few blocks only.
+    hashing = cross_polytope.Hashing(64, 80_000)
+    assert hashing.functions == 2 and hashing.probes > 2000
+    x = cross_polytope._directions(np.random.default_rng(1).normal(size=(60, 64)), cross_polytope.Hashing(64, 1))
+    sides = hashing.sides(x, 0)
+    tracemalloc.start()
+    least = hashing.least_probed(sides)
+    found = hashing.reached(sides, least, 0, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) > 1000 and peak < 40e6
 
 
 def spread_norms(case, n=3000, dim=64):
